@@ -12,45 +12,28 @@ from zonalis.operators.common import attach_row
 from zonalis.operators.ordering import exact_quantiles, positions
 
 
-def _with_nulls_back(df: DataFrame, score: str, ranked_cols, build) -> DataFrame:
-    """Rank the rows that have a score; the others get nulls."""
-    known = build(df.filter(F.col(score).isNotNull()))
-    rest = df.filter(F.col(score).isNull())
-    return known.select(*df.columns, *ranked_cols).unionByName(rest, allowMissingColumns=True)
+def _ranked(df: DataFrame, score: str, key: str, within: Sequence[str], prefix: str, bins: Column, **kw) -> DataFrame:
+    """Ranks inside `within`; rows without a score form a group of their own and get nulls."""
+    known = df.withColumn("_known", F.col(score).isNotNull())
+    p = positions(known, [score, key], ["_known", *within], ties=[score], **kw)
+    step = F.col("_n") - 1
+    ceil = F.when(step > 0, F.floor((bins * (F.col("_rn") - 1) + step - 1) / F.when(step > 0, step)))
+    return p.withColumns({
+        f"{prefix}_rank": F.when(F.col("_known"), F.col("_rank")),
+        f"{prefix}_decile": F.when(F.col("_known"), F.greatest(F.lit(1), F.coalesce(ceil, F.lit(1))).cast("int")),
+    }).select(*df.columns, f"{prefix}_rank", f"{prefix}_decile")
 
 
 def rank_scores(df: DataFrame, score: str, key: str, *, within: Sequence[str] = (), prefix: str | None = None,
                 bins: int = 10, **kw) -> DataFrame:
     """<prefix>_rank: 1 + number of lower scores; <prefix>_decile: bin of the
     first-rank order, max(1, ceil(bins·(r−1)/(n−1))), ties in key order."""
-    prefix = prefix or score
-    rank, decile = f"{prefix}_rank", f"{prefix}_decile"
-
-    def build(known):
-        p = positions(known, [score, key], within, ties=[score], **kw)
-        top = F.lit(bins) * (F.col("_rn") - 1)
-        step = F.col("_n") - 1
-        ceil = F.when(step > 0, F.floor((top + step - 1) / F.when(step > 0, step)))
-        return p.withColumn(rank, F.col("_rank")).withColumn(
-            decile, F.greatest(F.lit(1), F.coalesce(ceil, F.lit(1))).cast("int"))
-
-    return _with_nulls_back(df, score, [rank, decile], build)
+    return _ranked(df, score, key, within, prefix or score, F.lit(bins), **kw)
 
 
 def rank_within_state(df: DataFrame, score: str, key: str, state: str, *, prefix: str | None = None, **kw) -> DataFrame:
     """Rank and decile inside a state; a state with fewer than ten scores has as many bins."""
-    prefix = prefix or f"{score}_state"
-    rank, decile = f"{prefix}_rank", f"{prefix}_decile"
-
-    def build(known):
-        p = positions(known, [score, key], [state], ties=[score], **kw)
-        q = F.least(F.lit(10), F.col("_n"))
-        step = F.col("_n") - 1
-        ceil = F.when(step > 0, F.floor((q * (F.col("_rn") - 1) + step - 1) / F.when(step > 0, step)))
-        return p.withColumn(rank, F.col("_rank")).withColumn(
-            decile, F.greatest(F.lit(1), F.coalesce(ceil, F.lit(1))).cast("int"))
-
-    return _with_nulls_back(df, score, [rank, decile], build)
+    return _ranked(df, score, key, [state], prefix or f"{score}_state", F.least(F.lit(10), F.col("_n")), **kw)
 
 
 def percent_rank_decile(pct_rank: Column) -> Column:
