@@ -176,9 +176,9 @@ def completeness(df: DataFrame, domains: Mapping[str, Sequence[str]], threshold:
 
 def value_share(df: DataFrame, column: str, limit: float = 0.8) -> DataFrame:
     """The commonest value, its share, and whether it exceeds the limit."""
-    c = df.filter(F.col(column).isNotNull()).groupBy(column).agg(count_rows().alias("k"))
-    top = c.agg(F.max_by(column, F.struct("k", column)).alias("value"), F.max("k").alias("k"), F.sum("k").alias("total"))
-    share = F.col("k") / F.col("total")
+    c = df.filter(F.col(column).isNotNull()).groupBy(column).agg(count_rows().alias("_k"))
+    top = c.agg(F.max_by(column, F.struct("_k", column)).alias("value"), F.max("_k").alias("_k"), F.sum("_k").alias("_total"))
+    share = F.col("_k") / F.col("_total")
     return top.select(F.col("value").cast("string").alias("value"), share.alias("share"), (share > limit).alias("dominant"))
 
 
@@ -255,10 +255,10 @@ def coverage_totals(df: DataFrame, area: str, state: str, population: str, state
 
 def group_code_check(df: DataFrame, kind: str, code: str, expected: Mapping[str, int]) -> DataFrame:
     """Rows, distinct and repeated codes per area type, against the expected count."""
-    per = df.groupBy(kind, code).agg(count_rows().alias("k"))
+    per = df.groupBy(kind, code).agg(count_rows().alias("_k"))
     want = F.create_map(*[F.lit(x) for kv in expected.items() for x in kv])
-    return per.groupBy(kind).agg(F.sum("k").alias("rows"), count_rows().alias("codes"),
-                                 F.count_if(F.col("k") > 1).alias("repeated")).withColumn(
+    return per.groupBy(kind).agg(F.sum("_k").alias("rows"), count_rows().alias("codes"),
+                                 F.count_if(F.col("_k") > 1).alias("repeated")).withColumn(
         "count_ok", F.coalesce(F.col("codes") == F.try_element_at(want, F.col(kind)), F.lit(False)))
 
 
@@ -272,8 +272,8 @@ def climate_stats(df: DataFrame, by: Sequence[str], t_max: str, t_min: str, rain
         F.count_if(F.col(rain) > 10).alias("rain_days_10"), F.count_if(F.col(rain) > 25).alias("rain_days_25"),
         (F.avg(F.col(t_max).isNotNull().cast("int")) * 100).alias("completeness_pct"))
     q = exact_quantiles(df, rain, {"median_rain": 0.5, "p10_rain": 0.1, "p90_rain": 0.9}, by, **kw).drop("_n")
-    winds = df.filter(F.col(wind).isNotNull()).groupBy(*by, wind).agg(count_rows().alias("k"))
-    usual = winds.groupBy(*by).agg(F.min_by(wind, F.struct((-F.col("k")).alias("k"), F.col(wind))).alias("prevailing_wind"))
+    winds = df.filter(F.col(wind).isNotNull()).groupBy(*by, wind).agg(count_rows().alias("_k"))
+    usual = winds.groupBy(*by).agg(F.min_by(wind, F.struct((-F.col("_k")).alias("k"), F.col(wind))).alias("prevailing_wind"))
     return d.join(q, list(by), "left").join(usual, list(by), "left")
 
 
@@ -316,12 +316,12 @@ def index_aggregate(df: DataFrame, by: Sequence[str], score: str, decile: str, p
 
 def indicator_summary(df: DataFrame, area: str, parent: str, kind: str, value: str) -> DataFrame:
     """Per area: rows and mean by indicator kind, against its parent's and the national mean."""
-    sums = df.groupBy(parent, area, kind).agg(count_rows().alias(N), F.sum(value).alias("s"), F.count(value).alias("c"))
-    up = sums.groupBy(parent, kind).agg((F.sum("s") / F.sum("c")).alias("parent_mean"))
-    nation = sums.groupBy(kind).agg((F.sum("s") / F.sum("c")).alias("national_mean"))
-    out = sums.withColumn("mean", F.col("s") / F.col("c")).join(up, [parent, kind]).join(nation, kind)
-    return out.select(parent, area, kind, N, "mean", (F.col("mean") - F.col("parent_mean")).alias("vs_parent"),
-                      (F.col("mean") - F.col("national_mean")).alias("vs_nation"))
+    sums = df.groupBy(parent, area, kind).agg(count_rows().alias(N), F.sum(value).alias("_s"), F.count(value).alias("_c"))
+    up = sums.groupBy(parent, kind).agg((F.sum("_s") / F.sum("_c")).alias("_parent_mean"))
+    nation = sums.groupBy(kind).agg((F.sum("_s") / F.sum("_c")).alias("_national_mean"))
+    out = sums.withColumn("mean", F.col("_s") / F.col("_c")).join(up, [parent, kind]).join(nation, kind)
+    return out.select(parent, area, kind, N, "mean", (F.col("mean") - F.col("_parent_mean")).alias("vs_parent"),
+                      (F.col("mean") - F.col("_national_mean")).alias("vs_nation"))
 
 
 def top_causes(df: DataFrame, by: Sequence[str], cause: str, k: int = 3) -> DataFrame:

@@ -70,31 +70,31 @@ def resolve_conflicts(df: DataFrame, key: Sequence[str], field: str, *, source:
     number = F.col(value).try_cast("double")
     # First per distinct value, so consensus counts need no list of values.
     per_value = rows.groupBy(*ident, value).agg(
-        F.count(F.lit(1)).alias("k"),
-        F.min(F.struct((-q).alias("q"), F.col(source).alias("s"))).alias("best"),
-        F.min(F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("t"), F.col(source).alias("s"))).alias("newest"),
-        F.min(F.struct(field_priority(F.col(field), F.col(source)).alias("p"), F.col(source).alias("s"))).alias("first"),
-        F.sum(q).alias("sq"), F.sum(weight).alias("w"), F.sum(number * weight).alias("vw"))
+        F.count(F.lit(1)).alias("_k"),
+        F.min(F.struct((-q).alias("q"), F.col(source).alias("s"))).alias("_best"),
+        F.min(F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("t"), F.col(source).alias("s"))).alias("_newest"),
+        F.min(F.struct(field_priority(F.col(field), F.col(source)).alias("p"), F.col(source).alias("s"))).alias("_first"),
+        F.sum(q).alias("_sq"), F.sum(weight).alias("_w"), F.sum(number * weight).alias("_vw"))
     v = F.col(value)
     g = per_value.groupBy(*ident).agg(
-        F.sum("k").alias("sources"),
-        F.min_by(v, "best").alias("by_quality"), (-F.min("best")["q"]).alias("top_quality"),
-        F.min_by(v, "newest").alias("by_time"), (-F.min("newest")["t"]).alias("newest_us"),
-        F.min_by(v, "first").alias("by_priority"), (F.sum("sq") / F.sum("k")).alias("mean_quality"),
-        F.bool_and(number.isNotNull()).alias("numeric"), F.try_divide(F.sum("vw"), F.sum("w")).alias("weighted"),
-        F.max("k").alias("most"), F.max_by(v, F.struct("k", (-F.length(v)).alias("l"))).alias("common"))
+        F.sum("_k").alias("sources"),
+        F.min_by(v, "_best").alias("_by_quality"), (-F.min("_best")["q"]).alias("_top_quality"),
+        F.min_by(v, "_newest").alias("_by_time"), (-F.min("_newest")["t"]).alias("_newest_us"),
+        F.min_by(v, "_first").alias("_by_priority"), (F.sum("_sq") / F.sum("_k")).alias("_mean_quality"),
+        F.bool_and(number.isNotNull()).alias("_numeric"), F.try_divide(F.sum("_vw"), F.sum("_w")).alias("_weighted"),
+        F.max("_k").alias("_most"), F.max_by(v, F.struct("_k", (-F.length(v)).alias("l"))).alias("_common"))
     s = strategy if strategy is not None else strategy_for(F.col(field))
-    age = F.floor((F.unix_micros(F.lit(as_of).cast("timestamp")) - F.col("newest_us")) / 86_400_000_000)
-    agreed = (F.col("sources") >= min_sources) & (F.col("most") / F.col("sources") >= share)
-    weighted = F.col("numeric") & (s == "weighted_average")
+    age = F.floor((F.unix_micros(F.lit(as_of).cast("timestamp")) - F.col("_newest_us")) / 86_400_000_000)
+    agreed = (F.col("sources") >= min_sources) & (F.col("_most") / F.col("sources") >= share)
+    weighted = F.col("_numeric") & (s == "weighted_average")
     g = g.withColumns({
         "strategy": s,
-        "resolved": F.when(s == "manual", None).when(s == "most_recent", F.col("by_time"))
-        .when(s == "source_priority", F.col("by_priority")).when(weighted, F.col("weighted").cast("string"))
-        .when((s == "consensus") & agreed, F.col("common")).otherwise(F.col("by_quality")),
+        "resolved": F.when(s == "manual", None).when(s == "most_recent", F.col("_by_time"))
+        .when(s == "source_priority", F.col("_by_priority")).when(weighted, F.col("_weighted").cast("string"))
+        .when((s == "consensus") & agreed, F.col("_common")).otherwise(F.col("_by_quality")),
         "confidence": F.when(s == "manual", 0.0).when(s == "most_recent", F.greatest(F.lit(0.5), 1 - age / 365.0))
-        .when(weighted, F.col("mean_quality")).when((s == "consensus") & agreed, F.col("most") / F.col("sources"))
-        .otherwise(F.col("top_quality")),
+        .when(weighted, F.col("_mean_quality")).when((s == "consensus") & agreed, F.col("_most") / F.col("sources"))
+        .otherwise(F.col("_top_quality")),
     })
     return g.select(*ident, "strategy", "resolved", "confidence", "sources")
 
@@ -107,12 +107,12 @@ def best_value_per_field(df: DataFrame, key: Sequence[str], field: str, source:
     """
     ident = [*key, field]
     per_source = df.filter(F.col(value).isNotNull()).groupBy(*ident, source).agg(
-        F.max_by(value, quality).alias("v"), F.max(quality).alias("q"))
+        F.max_by(value, quality).alias("_v"), F.max(quality).alias("_q"))
     g = per_source.groupBy(*ident).agg(
-        F.min_by(F.struct(F.col("v").alias("value"), F.col(source).alias("selected_source"), F.col("q").alias("confidence")),
-                 F.struct((-F.col("q")).alias("q"), F.col(source))).alias("b"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(source, "v")))).alias("all"))
-    return g.select(*ident, "b.*", F.map_filter("all", lambda k, _: k != F.col("b.selected_source")).alias("alternatives"))
+        F.min_by(F.struct(F.col("_v").alias("value"), F.col(source).alias("selected_source"), F.col("_q").alias("confidence")),
+                 F.struct((-F.col("_q")).alias("q"), F.col(source))).alias("_b"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(source, "_v")))).alias("_all"))
+    return g.select(*ident, "_b.*", F.map_filter("_all", lambda k, _: k != F.col("_b.selected_source")).alias("alternatives"))
 
 
 def fields_to_columns(best: DataFrame, key: Sequence[str], field: str, value: str, fields: Mapping[str, str]) -> DataFrame:

@@ -26,14 +26,22 @@ def _known(df: DataFrame, column: str) -> DataFrame:
 # --- critical values -----------------------------------------------------------------
 
 
+# Two-sided 5 % points of Student's t for few degrees of freedom.
+SMALL_T = {1: 12.706204736, 2: 4.302652730, 3: 3.182446305, 4: 2.776445105, 5: 2.570581836, 6: 2.446911851}
+
+
 def critical_t(df: Column) -> Column:
-    """Two-sided 5 % point of Student's t: exact for 1 and 2, else the published series in 1/df."""
+    """Two-sided 5 % point of Student's t: tabled up to 6, then the published series in 1/df."""
     z = 1.959963984540054
-    g1, g2 = (z ** 3 + z) / 4, (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96
-    g3 = (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384
+    terms = [(z ** 3 + z) / 4, (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96, (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384]
     n = df.cast("double")
-    return F.when(n < 1, None).when(n == 1, 12.706204736).when(n == 2, 4.302652730).otherwise(
-        z + g1 / n + g2 / (n * n) + g3 / (n * n * n))
+    series = F.lit(z)
+    for i, g in enumerate(terms, 1):
+        series = series + g / F.pow(n, F.lit(i))
+    out = F.when(n < 1, None)
+    for d, t in SMALL_T.items():
+        out = out.when(n == d, t)
+    return out.otherwise(series)
 
 
 def critical_chi2(df: Column) -> Column:
@@ -196,17 +204,17 @@ def t_test(df: DataFrame, group: str, value: str, a: str, b: str, least: int = 3
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     """Contingency statistic; the continuity correction applies with one degree of freedom."""
-    cells = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
-    rows = cells.groupBy(a).agg(F.sum("o").alias("r"))
-    cols = cells.groupBy(b).agg(F.sum("o").alias("c"))
+    cells = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("_o"))
+    rows = cells.groupBy(a).agg(F.sum("_o").alias("_r"))
+    cols = cells.groupBy(b).agg(F.sum("_o").alias("_c"))
     j = cells.join(rows, a).join(cols, b)
-    s = j.agg(F.sum("o").alias("n"), F.sum(F.col("o") * F.col("o") / (F.col("r") * F.col("c"))).alias("q"),
-              F.min_by(F.struct("o", "r", "c"), F.struct(a, b)).alias("corner"))
-    s = attach_row(s, rows.agg(F.count(F.lit(1)).alias("k"), F.product(1 / F.col("r").cast("double")).alias("pr")))
-    s = attach_row(s, cols.agg(F.count(F.lit(1)).alias("m"), F.product(1 / F.col("c").cast("double")).alias("pc")))
+    s = j.agg(F.sum("_o").alias("n"), F.sum(F.col("_o") * F.col("_o") / (F.col("_r") * F.col("_c"))).alias("q"),
+              F.min_by(F.struct("_o", "_r", "_c"), F.struct(a, b)).alias("corner"))
+    s = attach_row(s, rows.agg(F.count(F.lit(1)).alias("k"), F.product(1 / F.col("_r").cast("double")).alias("pr")))
+    s = attach_row(s, cols.agg(F.count(F.lit(1)).alias("m"), F.product(1 / F.col("_c").cast("double")).alias("pc")))
     dof = (F.col("k") - 1) * (F.col("m") - 1)
     n = F.col("n").cast("double")
-    away = F.abs(F.col("corner.o") - F.col("corner.r") * F.col("corner.c") / n)
+    away = F.abs(F.col("corner._o") - F.col("corner._r") * F.col("corner._c") / n)
     yates = F.pow(away - F.least(F.lit(0.5), away), F.lit(2)) * F.pow(n, F.lit(3)) * F.col("pr") * F.col("pc")
     stat = F.when(dof == 1, yates).otherwise(n * (F.col("q") - 1))
     return s.select(stat.alias("chi2"), dof.alias("df"), "n").withColumn("significant", F.col("chi2") > critical_chi2(F.col("df")))
@@ -214,11 +222,11 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def anova(df: DataFrame, group: str, value: str) -> DataFrame:
     """F over groups from their counts, means and variances."""
-    g = _known(df, value).filter(F.col(group).isNotNull()).groupBy(group).agg(F.count(value).alias("n"), F.avg(value).alias("m"), F.var_pop(value).alias("v"))
-    s = g.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n") * F.col("m")).alias("s"),
-              F.sum(F.col("n") * F.col("v")).alias("within"), F.sum(F.col("n") * F.col("m") * F.col("m")).alias("sq"))
-    between = F.col("sq") - F.col("s") * F.col("s") / F.col("n")
-    d1, d2 = F.col("k") - 1, F.col("n") - F.col("k")
+    g = _known(df, value).filter(F.col(group).isNotNull()).groupBy(group).agg(F.count(value).alias("_n"), F.avg(value).alias("_m"), F.var_pop(value).alias("_v"))
+    s = g.agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("k"), F.sum(F.col("_n") * F.col("_m")).alias("s"),
+              F.sum(F.col("_n") * F.col("_v")).alias("within"), F.sum(F.col("_n") * F.col("_m") * F.col("_m")).alias("sq"))
+    between = F.col("sq") - F.col("s") * F.col("s") / F.col("_n")
+    d1, d2 = F.col("k") - 1, F.col("_n") - F.col("k")
     return s.select((between / d1 / (F.col("within") / d2)).alias("f"), d1.alias("df_between"), d2.alias("df_within"))
 
 
@@ -332,6 +340,6 @@ def morans_i(values: DataFrame, pairs: DataFrame, key: str, value: str, a: str,
 
 def yearly_means(df: DataFrame, year: Column, state: str, value: str) -> DataFrame:
     """Mean per year and state, and per year for the nation (state null)."""
-    base = df.groupBy(year.alias("year"), F.col(state).alias("state")).agg(F.sum(value).alias("s"), F.count(value).alias("c"))
-    nation = base.groupBy("year").agg((F.sum("s") / F.sum("c")).alias("mean")).withColumn("state", F.lit("ALL"))
-    return base.select("year", "state", (F.col("s") / F.col("c")).alias("mean")).unionByName(nation)
+    base = df.groupBy(year.alias("year"), F.col(state).alias("state")).agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
+    nation = base.groupBy("year").agg((F.sum("_s") / F.sum("_c")).alias("mean")).withColumn("state", F.lit("ALL"))
+    return base.select("year", "state", (F.col("_s") / F.col("_c")).alias("mean")).unionByName(nation)

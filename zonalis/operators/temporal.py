@@ -46,25 +46,25 @@ def align_to_date(df: DataFrame, key: Sequence[str], *, ts: str = "ts", value: s
         return F.min_by(row, F.when(cond, order))
 
     g = df.groupBy(*key).agg(
-        first_when(gap < 1, F.struct(F.col(ts).alias("t"))).alias("exact"),
-        first_when(gap <= tolerance_days, F.struct(gap.alias("g"), F.col(ts).alias("t"))).alias("near"),
-        F.max_by(row, F.when(past, F.struct(F.col(ts).alias("t")))).alias("before"),
-        first_when(~past, F.struct(F.col(ts).alias("t"))).alias("after"))
+        first_when(gap < 1, F.struct(F.col(ts).alias("t"))).alias("_exact"),
+        first_when(gap <= tolerance_days, F.struct(gap.alias("g"), F.col(ts).alias("t"))).alias("_near"),
+        F.max_by(row, F.when(past, F.struct(F.col(ts).alias("t")))).alias("_before"),
+        first_when(~past, F.struct(F.col(ts).alias("t"))).alias("_after"))
 
     tol2 = tolerance_days * 2.0
 
     def faded(s):
         return F.col(f"{s}.q") * (1 - F.abs(F.col(f"{s}.d")) / tol2)
 
-    near = F.struct(F.col("near.v").alias("value"), F.coalesce(faded("near"), F.lit(0.0)).alias("confidence"),
-                    F.when(F.col("near").isNotNull(), "nearest_available").otherwise("no_data_within_tolerance").alias("method"))
-    span = F.floor((F.unix_micros("after.t") - F.unix_micros("before.t")) / 86_400_000_000)
-    w = -F.col("before.d") / F.when(span > 0, span)
+    near = F.struct(F.col("_near.v").alias("value"), F.coalesce(faded("_near"), F.lit(0.0)).alias("confidence"),
+                    F.when(F.col("_near").isNotNull(), "nearest_available").otherwise("no_data_within_tolerance").alias("method"))
+    span = F.floor((F.unix_micros("_after.t") - F.unix_micros("_before.t")) / 86_400_000_000)
+    w = -F.col("_before.d") / F.when(span > 0, span)
     between = F.struct(
-        (F.col("before.v") * (1 - w) + F.col("after.v") * w).alias("value"),
-        ((F.col("before.q") + F.col("after.q")) / 2 * (1 - F.least(span / 730.0, F.lit(0.5)))).alias("confidence"),
+        (F.col("_before.v") * (1 - w) + F.col("_after.v") * w).alias("value"),
+        ((F.col("_before.q") + F.col("_after.q")) / 2 * (1 - F.least(span / 730.0, F.lit(0.5)))).alias("confidence"),
         F.lit("interpolated").alias("method"))
-    can = F.coalesce((span > 0) & F.col("before.v").isNotNull() & F.col("after.v").isNotNull(), F.lit(False))
+    can = F.coalesce((span > 0) & F.col("_before.v").isNotNull() & F.col("_after.v").isNotNull(), F.lit(False))
     interpolated = F.when(can, between).otherwise(near)
 
     def side(s, name, none):
@@ -72,20 +72,20 @@ def align_to_date(df: DataFrame, key: Sequence[str], *, ts: str = "ts", value: s
         return F.struct(F.when(ok, F.col(f"{s}.v")).alias("value"), F.when(ok, faded(s)).otherwise(0.0).alias("confidence"),
                         F.when(ok, name).otherwise(none).alias("method"))
 
-    exact = F.struct(F.col("exact.v").alias("value"), F.coalesce(F.col("exact.q"), F.lit(0.0)).alias("confidence"),
-                     F.when(F.col("exact").isNotNull(), "exact_match").otherwise("no_exact_match").alias("method"))
+    exact = F.struct(F.col("_exact.v").alias("value"), F.coalesce(F.col("_exact.q"), F.lit(0.0)).alias("confidence"),
+                     F.when(F.col("_exact").isNotNull(), "exact_match").otherwise("no_exact_match").alias("method"))
     seasonal = interpolated
     if pattern is not None:
         factors = F.create_map(*[x for k, v in SEASONAL.items() for x in (F.lit(k), F.array(*[F.lit(f) for f in v]))])
         months = F.try_element_at(factors, pattern)
-        change = F.get(months, F.month(ref) - 1) / F.get(months, F.month("near.t") - 1)
-        adjusted = F.struct((F.col("near.v") * change).alias("value"), (faded("near") * 0.9).alias("confidence"),
+        change = F.get(months, F.month(ref) - 1) / F.get(months, F.month("_near.t") - 1)
+        adjusted = F.struct((F.col("_near.v") * change).alias("value"), (faded("_near") * 0.9).alias("confidence"),
                             F.lit("seasonal_adjusted").alias("method"))
-        seasonal = F.when(months.isNull(), interpolated).when(F.col("near.v").isNull(), near).otherwise(adjusted)
+        seasonal = F.when(months.isNull(), interpolated).when(F.col("_near.v").isNull(), near).otherwise(adjusted)
     chosen = (
         F.when(strategy == "exact_match", exact).when(strategy == "interpolation", interpolated)
-        .when(strategy == "forward_fill", side("before", "forward_fill", "no_past_data"))
-        .when(strategy == "backward_fill", side("after", "backward_fill", "no_future_data"))
+        .when(strategy == "forward_fill", side("_before", "forward_fill", "no_past_data"))
+        .when(strategy == "backward_fill", side("_after", "backward_fill", "no_future_data"))
         .when(strategy == "seasonal_adjustment", seasonal).otherwise(near)
     )
     return g.select(*key, chosen.alias("_c")).select(*key, "_c.*")

@@ -554,12 +554,12 @@ def _(t):
 @query("livability_and_opportunity", "2.13-09", sql="""
 SELECT p_partkey, round_even((100 - (least(greatest(p_retailprice / 2, 300), 700) - 300) / 400 * 100) * 0.25 + (100 - (least(greatest(p_size / 4.0, 2), 10) - 2) / 8 * 100) * 0.25
    + (least(greatest(p_size::DOUBLE, 10), 40) - 10) / 30 * 100 * 0.20 + (p_partkey % 10) / 9.0 * 100 * 0.20 + 70 * 0.10, 1) AS livability,
-  round_even(((least(greatest((p_size + 40)::DOUBLE, 50), 80) - 50) / 30 * 100 + (least(greatest(p_retailprice * 50, 40000), 90000) - 40000) / 50000 * 100
+  round_even(((least(greatest((p_size + 40)::DOUBLE, 50), 80) - 50) / 30 * 100 + (least(greatest(p_retailprice * 51, 40000), 90000) - 40000) / 50000 * 100
    + (least(greatest(p_size / 47.0::DOUBLE, 0.5::DOUBLE), 0.9::DOUBLE) - 0.5::DOUBLE) / (0.9::DOUBLE - 0.5::DOUBLE) * 100) / 3, 1) AS opportunity FROM part""")
 def _(t):
     s, p = F.col("p_size"), F.col("p_retailprice")
     return t.part.select("p_partkey", X.livability(p / 2, s / 4.0, s.cast("double"), F.col("p_partkey") % 10 + 1).alias("livability"),
-                         X.economic_opportunity(s + 40.0, p * 50, s / 47.0).alias("opportunity"))
+                         X.economic_opportunity(s + 40.0, p * 51, s / 47.0).alias("opportunity"))
 
 
 @query("housing_stress", "2.13-11", sql=with_sql(HOUSING) + """

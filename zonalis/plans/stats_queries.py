@@ -67,7 +67,7 @@ def _(t):
 def _tcrit(n):
     z = 1.959963984540054
     g = [(z ** 3 + z) / 4, (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96, (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384]
-    return f"(CASE WHEN {n} = 1 THEN 12.706204736 WHEN {n} = 2 THEN 4.302652730 ELSE {z} + {g[0]} / {n} + {g[1]} / pow({n}, 2) + {g[2]} / pow({n}, 3) END)"
+    return f"(CASE WHEN {n} = 1 THEN 12.706204736 WHEN {n} = 2 THEN 4.302652730 WHEN {n} = 3 THEN 3.182446305 WHEN {n} = 4 THEN 2.776445105 WHEN {n} = 5 THEN 2.570581836 WHEN {n} = 6 THEN 2.446911851 ELSE {z} + {g[0]} / {n} + {g[1]} / pow({n}, 2) + {g[2]} / pow({n}, 3) END)"
 
 
 @query("linear_trends", "2.15-07", sql=f"""

@@ -114,6 +114,11 @@ def _(t):
     return M.equals(areas(t), state_code="2", segment="BUILDING").select("area_id", "sa2_code")
 
 
+@query("point_lookup", "2.3-12", sql="SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey = 1234")
+def _(t):
+    return M.equals(t.orders, o_orderkey=1234).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query("distinct_categories", "2.3-13", "2.7-03", sql="SELECT DISTINCT p_type AS category FROM part WHERE p_type IS NOT NULL ORDER BY 1")
 def _(t):
     return S.sorted_distinct(t.part.select(F.col("p_type").alias("category")), "category")

@@ -60,7 +60,7 @@ def scanned_bytes(df: DataFrame) -> int:
     """
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except Exception:
         return 1 << 62
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +47,6 @@ def load_parquet_tree(spark: SparkSession, folder: str) -> LoadedTables:
     for name, path in sorted(parquet_names(spark, folder).items()):
         try:
             out.tables[name] = spark.read.parquet(path)
-        except PySparkException as e:
+        except Exception as e:  # a bad footer surfaces as the gateway's own error type
             out.failed[name] = str(e).splitlines()[0]
     return out
