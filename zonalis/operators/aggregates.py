@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from zonalis.functions.ratios import row_sum
 from zonalis.operators.impute import long_form
 from zonalis.operators.common import attach_row
-from zonalis.operators.ordering import exact_quantiles, positions
+from zonalis.operators.ordering import exact_quantiles, value_runs
 
 N = "n"
 
@@ -296,10 +296,12 @@ def mortality_stats(df: DataFrame, by: Sequence[str], deaths: str, sex: str, ban
 
 def gini(df: DataFrame, value: str, by: Sequence[str] = (), **kw) -> DataFrame:
     """Gini coefficient per group: Σ(2i−n−1)x / (n·Σx) over ascending positions."""
-    p = positions(df.select(*by, value).filter(F.col(value).isNotNull()), [value], by, **kw)
-    top = F.sum((2 * F.col("_rn") - F.col("_n") - 1) * F.col(value))
-    low = F.max("_n") * F.sum(value)
-    return p.groupBy(*by).agg(F.when(low != 0, top / low).alias("gini"))
+    runs = value_runs(df.select(*by, value), value, by, **kw)
+    c, n = F.col("_c"), F.col("_total")
+    # Σ(2i−n−1) over a run of equal values that ends at position _cum.
+    top = F.sum(F.col(value) * c * (2 * F.col("_cum") - c - n))
+    low = F.max(n) * F.sum(F.col(value) * c)
+    return runs.groupBy(*by).agg(F.when(low != 0, top / low).alias("gini"))
 
 
 def index_aggregate(df: DataFrame, by: Sequence[str], score: str, decile: str, population: str, **kw) -> DataFrame:

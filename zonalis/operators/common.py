@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonalis.session import fits_one_task, materialise
+
 
 def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
     """Add the columns of a one-row DataFrame to every row as a scalar subquery;
@@ -27,11 +29,17 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins can split the left side")
-    hot_rows = hot_rows or int(left.sparkSession.conf.get("zonalis.hotRows", str(HOT_ROWS)))
+    spark = left.sparkSession
+    hot_rows = hot_rows or int(spark.conf.get("zonalis.hotRows", str(HOT_ROWS)))
+    if hot_rows >= HOT_ROWS and fits_one_task(left):
+        return left.join(right, keys, how)
     hot = (
         left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > hot_rows)
         .select(*keys, F.ceil(F.col("_c") / hot_rows).cast("int").alias("_salts"))
     )
+    hot = materialise(hot, "hot")  # both sides read it; it is counted once
+    if hot.isEmpty():
+        return left.join(right, keys, how)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     one = left.join(F.broadcast(hot), keys, "left")
     one = one.withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int")).drop("_salts")

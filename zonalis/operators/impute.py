@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.operators.common import attach_row
-from zonalis.operators.ordering import carried_value, exact_quantiles, positions
+from zonalis.operators.ordering import carried_value, exact_quantiles, positions, value_runs
 
 _KEY = "_field"
 
@@ -51,9 +51,9 @@ def weighted_median_table(df: DataFrame, columns: Sequence[str], weight: str, gr
     base = df.withColumn("_w", F.when(F.coalesce(F.col(weight), F.lit(0)) == 0, 1.0)
                          .otherwise(F.col(weight).cast("double")))
     cells = long_form(base, columns, [*group, "_w"])
-    ranked = positions(cells, ["_value"], [_KEY, *group], weight="_w", **kw)
+    runs = value_runs(cells, "_value", [_KEY, *group], weight="_w", **kw)
     past_half = F.col("_cum") > F.col("_total") / 2
-    stat = ranked.groupBy(_KEY, *group).agg(
+    stat = runs.groupBy(_KEY, *group).agg(
         F.coalesce(F.min(F.when(past_half, F.col("_value"))), F.max("_value")).alias("_stat"))
     return _wide(stat, columns, group, suffix)
 

@@ -40,18 +40,16 @@ def _group_struct(group: Sequence[str]) -> Column:
     return F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(0).alias("_all"))
 
 
-def edge_totals(slices: DataFrame, group: Sequence[str], **aggs: Column) -> DataFrame:
-    """One row per (slice, group) for the groups that cross a slice border.
+def _openers(slices: DataFrame, *columns: str) -> DataFrame:
+    """What each slice opens with.  A group or a run of ties that crosses a border
+    opens the slice after it, so this holds them all, one row per slice at most."""
+    return slices.filter(F.col(POS) == 0).select(*columns).distinct()
+
 
-    At most two groups per slice can do so, so the result is bounded by twice
-    the number of slices.
-    """
+def edge_totals(slices: DataFrame, group: Sequence[str], **aggs: Column) -> DataFrame:
+    """One row per (slice, group) for the groups that cross a slice border."""
     g = slices.withColumn("_g", _group_struct(group))
-    ends = g.groupBy(SLICE).agg(F.min("_g").alias("first"), F.max("_g").alias("last"))
-    spanning = (
-        ends.select(SLICE, F.explode(F.array_distinct(F.array("first", "last"))).alias("_g"))
-        .groupBy("_g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("_g")
-    )
+    spanning = _openers(g, "_g")
     return (
         g.join(F.broadcast(spanning), g["_g"].eqNullSafe(spanning["_g"]), "left_semi")
         .groupBy(SLICE, "_g").agg(*[c.alias(n) for n, c in aggs.items()])
@@ -97,55 +95,55 @@ def positions(
     zero = F.lit(0)
     edges = edge_totals(
         slices, group,
-        cnt=F.count(F.lit(1)),
-        wsum=F.coalesce(F.sum(weight), zero.cast("double")) if weight else zero.cast("double"),
+        cnt=F.count(F.lit(1)), low=F.min(POS),
+        wsum=F.coalesce(F.sum(weight).cast("double"), F.lit(0.0)) if weight else F.max(F.lit(0.0)),
     )
     across = Window.partitionBy("_g")
     earlier = across.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.select(
-        SLICE, "_g",
+        SLICE, "_g", "low",
         F.coalesce(F.sum("cnt").over(earlier), zero).alias("_before"),
         F.sum("cnt").over(across).alias("_gn"),
         F.coalesce(F.sum("wsum").over(earlier), F.lit(0.0)).alias("_wbefore"),
         F.sum("wsum").over(across).alias("_gw"),
     )
-    s = with_edges(slices, edges, group)
+    s = with_edges(slices, edges.drop("low"), group)
     inside = Window.partitionBy(SLICE, *group)
     run = inside.orderBy(POS)
-    before = F.coalesce(F.col("_before"), zero)
-    out = s.withColumn("_rn", before + F.row_number().over(run))
+    out = s.withColumn("_rn", F.coalesce(F.col("_before"), zero) + F.row_number().over(run))
     out = out.withColumn("_n", F.coalesce("_gn", F.count(F.lit(1)).over(inside)))
     if weight:
         rows = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = out.withColumn("_cum", F.coalesce("_wbefore", F.lit(0.0)) + F.sum(weight).over(rows))
-        out = out.withColumn("_total", F.coalesce("_gw", F.sum(weight).over(inside)))
+        out = out.withColumn("_total", F.coalesce("_gw", F.sum(weight).over(inside).cast("double")))
     drop = [SLICE, POS, "_g", "_before", "_gn", "_wbefore", "_gw"]
     if ties is None:
         return out.drop(*drop)
-    # Minimum position of equal values: local within a slice, and for the value a
-    # slice opens with, the position carried in from the slice where its run began.
-    out = out.withColumn("_tie", F.struct(*ties))
-    local = F.min("_rn").over(Window.partitionBy(SLICE, *group, "_tie"))
-    heads = (
-        slices.withColumn("_g", _group_struct(group))
-        .withColumn("_tie", F.struct(*ties))
-        .groupBy(SLICE)
-        .agg(
-            F.min_by(F.struct("_g", "_tie"), POS).alias("head"),
-            F.max_by(F.struct("_g", "_tie"), POS).alias("tail"),
-        )
+    # Least position of equal values: found within the slice, but for the values
+    # slices open with, from the first slice that holds them.
+    tied = slices.select(SLICE, POS, F.struct(_group_struct(group).alias("g"), F.struct(*ties).alias("t")).alias("_k"))
+    keys = _openers(tied, "_k")
+    first = (
+        tied.join(F.broadcast(keys), tied["_k"].eqNullSafe(keys["_k"]), "left_semi")
+        .groupBy("_k").agg(F.min(F.struct(SLICE, POS)).alias("f"))
     )
-    keys = heads.select(F.explode(F.array_distinct(F.array("head", "tail"))).alias("k")).groupBy("k").agg(
-        F.count(F.lit(1)).alias("c")).filter("c > 1").select("k")
-    o2 = out.withColumn("_k", F.struct("_g", "_tie"))
-    starts = (
-        o2.join(F.broadcast(keys), o2["_k"].eqNullSafe(keys["k"]), "left_semi")
-        .groupBy("_k").agg(F.min("_rn").alias("_start"))
-        .withColumnRenamed("_k", "_sk")
-    )
-    out = o2.join(F.broadcast(starts), o2["_k"].eqNullSafe(starts["_sk"]), "left")
-    out = out.withColumn("_rank", F.coalesce("_start", local))
-    return out.drop(*drop, "_tie", "_k", "_sk", "_start")
+    starts = first.join(
+        F.broadcast(edges), (F.col(f"f.{SLICE}") == edges[SLICE]) & F.col("_k.g").eqNullSafe(edges["_g"])
+    ).select(F.col("_k").alias("_sk"), (F.col("_before") + F.col(f"f.{POS}") - F.col("low") + 1).alias("_start"))
+    local = F.min("_rn").over(Window.partitionBy(SLICE, *group, *ties))
+    out = out.withColumn("_k", F.struct(F.col("_g").alias("g"), F.struct(*ties).alias("t")))
+    out = out.join(F.broadcast(starts), out["_k"].eqNullSafe(starts["_sk"]), "left")
+    return out.withColumn("_rank", F.coalesce("_start", local)).drop(*drop, "_k", "_sk", "_start")
+
+
+def value_runs(df: DataFrame, value: str, group: Sequence[str] = (), *, weight: str | None = None, **kw) -> DataFrame:
+    """Distinct values per group with their weight _c, running weight _cum and group
+    total _total.  Equal values are counted before they are sorted, so a value held
+    by a third of the rows is one row here."""
+    rows = df.filter(F.col(value).isNotNull())
+    c = F.sum(weight).cast("double") if weight else F.count(F.lit(1)).cast("double")
+    counts = rows.groupBy(*group, value).agg(c.alias("_c"))
+    return positions(counts, [value], group, weight="_c", **kw).drop("_rn", "_n")
 
 
 def exact_quantiles(
@@ -157,24 +155,24 @@ def exact_quantiles(
     exclusive: bool = False,
     single_task_bytes: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles per group, linear between neighbours (position p(n-1)),
-    or the exclusive form at p(n+1).  Sorted positions, never a per-group buffer."""
+    """Exact quantiles per group, linear between neighbours (position p(n-1)), or
+    the exclusive form at p(n+1); _n counts the values.  Beyond one task's size it
+    reads positions off sorted value runs, never a per-group buffer."""
     base = df.select(*group, value).filter(F.col(value).isNotNull())
     if not exclusive and fits_one_task(base, single_task_bytes):
-        agg = [F.percentile(value, F.lit(p)).alias(n) for n, p in probs.items()]
-        return base.groupBy(*group).agg(*agg, F.count(F.lit(1)).alias("_n"))
-    ranked = positions(base, [value], group, single_task_bytes=single_task_bytes)
-    out = []
-    n = F.col("_n").cast("double")
+        q = base.groupBy(*group).agg(
+            F.percentile(value, F.array(*[F.lit(p) for p in probs.values()])).alias("_q"), F.count(F.lit(1)).alias("_n"))
+        return q.select(*group, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(probs)], "_n")
+    runs = value_runs(base, value, group, single_task_bytes=single_task_bytes)
+    n, out = F.col("_total"), []
     for name, p in probs.items():
         at = F.lit(p) * (n + 1) if exclusive else F.lit(p) * (n - 1) + 1
         at = F.greatest(F.lit(1.0), F.least(n, at))
-        lo, hi = F.floor(at), F.ceil(at)
-        frac = F.max(at - lo)
-        v_lo = F.max(F.when(F.col("_rn") == lo, F.col(value)))
-        v_hi = F.max(F.when(F.col("_rn") == hi, F.col(value)))
-        out.append((v_lo + (v_hi - v_lo) * frac).alias(name))
-    return ranked.groupBy(*group).agg(*out, F.max("_n").alias("_n"))
+        low, high = F.floor(at), F.ceil(at)
+        v_low = F.min(F.when(F.col("_cum") >= low, F.col(value)))
+        v_high = F.min(F.when(F.col("_cum") >= high, F.col(value)))
+        out.append((v_low + (v_high - v_low) * F.max(at - low)).alias(name))
+    return runs.groupBy(*group).agg(*out, F.max("_total").cast("long").alias("_n"))
 
 
 def carried_value(

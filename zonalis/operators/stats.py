@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.operators.common import attach_row
-from zonalis.operators.ordering import exact_quantiles, positions
+from zonalis.operators.ordering import exact_quantiles, positions, value_runs
 from zonalis.session import materialise
 
 
@@ -234,15 +234,15 @@ def _standardised(df: DataFrame, column: str, sample: bool, **kw) -> DataFrame:
     d = _known(df, column).select(F.col(column).cast("double").alias("_x"))
     s = d.agg(F.avg("_x").alias("_m"), (F.stddev_samp if sample else F.stddev_pop)("_x").alias("_s"))
     z = attach_row(d, s).select(((F.col("_x") - F.col("_m")) / F.when(F.col("_s") > 0, F.col("_s"))).alias("_z"))
-    return positions(z.filter("_z IS NOT NULL"), ["_z"], **kw)
+    return value_runs(z, "_z", **kw)
 
 
 def ks_normality(df: DataFrame, column: str, **kw) -> DataFrame:
     """Greatest distance between the standardised sample and the normal curve."""
     p = _standardised(df, column, False, **kw)
     below = 1 - normal_tail(F.col("_z"))
-    d = F.greatest(F.col("_rn") / F.col("_n") - below, below - (F.col("_rn") - 1) / F.col("_n"))
-    s = p.agg(F.max(d).alias("statistic"), F.max("_n").alias("n"))
+    d = F.greatest(F.col("_cum") / F.col("_total") - below, below - (F.col("_cum") - F.col("_c")) / F.col("_total"))
+    s = p.agg(F.max(d).alias("statistic"), F.max("_total").cast("long").alias("n"))
     return s.withColumn("is_normal", F.col("statistic") <= 1.358 / F.sqrt("n"))
 
 
@@ -251,8 +251,10 @@ def anderson_darling(df: DataFrame, column: str, **kw) -> DataFrame:
     p = _standardised(df, column, True, **kw)
     up = normal_tail(F.col("_z"))
     low = normal_tail(-F.col("_z"))
-    i, n = F.col("_rn"), F.col("_n")
-    s = p.agg(F.sum((2 * i - 1) * F.ln(low) + (2 * n + 1 - 2 * i) * F.ln(up)).alias("s"), F.max("_n").alias("n"))
+    # Σ(2i−1) over a run of c equal values that ends at position _cum.
+    c, n = F.col("_c"), F.col("_total")
+    odd = c * (2 * F.col("_cum") - c)
+    s = p.agg(F.sum(odd * F.ln(low) + (2 * n * c - odd) * F.ln(up)).alias("s"), F.max("_total").cast("long").alias("n"))
     crit = F.round(0.787 / (1 + 4.0 / F.col("n") - 25.0 / (F.col("n") * F.col("n"))), 3)
     a2 = -F.col("n") - F.col("s") / F.col("n")
     return s.select(a2.alias("statistic"), "n", crit.alias("critical"), (a2 <= crit).alias("is_normal"))
@@ -334,8 +336,8 @@ def morans_i(values: DataFrame, pairs: DataFrame, key: str, value: str, a: str,
     dev = attach_row(known, s.select("_m")).select(key, (F.col(value) - F.col("_m")).alias("z"))
     w = F.col(weight) if weight else F.lit(1.0)
     j = (pairs.join(dev.select(F.col(key).alias(a), F.col("z").alias("za")), a).join(dev.select(F.col(key).alias(b), F.col("z").alias("zb")), b))
-    t = j.agg(F.sum(w * F.col("za") * F.col("zb")).alias("top"), F.sum(w).alias("w"))
-    return attach_row(t, s.select("n", "ss")).select((F.col("n") / F.col("w") * F.col("top") / F.col("ss")).alias("morans_i"), "n", F.col("w").alias("weights"))
+    t = j.agg(F.sum(w * F.col("za") * F.col("zb")).alias("top"), F.coalesce(F.sum(w), F.lit(0.0)).alias("w"))
+    return attach_row(t, s.select("n", "ss")).select((F.col("n") / F.when(F.col("w") != 0, F.col("w")) * F.col("top") / F.col("ss")).alias("morans_i"), "n", F.col("w").alias("weights"))
 
 
 def yearly_means(df: DataFrame, year: Column, state: str, value: str) -> DataFrame:

@@ -182,7 +182,7 @@ def _(t):
 
 @query("morans_i", "2.15-18", sql=with_sql(BOXES, """
 p AS (SELECT a.people AS x, b.people AS y FROM boxes a JOIN boxes b ON a.box_id <> b.box_id AND NOT (a.x1 < b.x0 OR a.x0 > b.x1 OR a.y1 < b.y0 OR a.y0 > b.y1)), s AS (SELECT avg(people) AS m, count(*) AS n, sum(pow(people, 2)) - count(*) * pow(avg(people), 2) AS ss FROM boxes)""") + """
-SELECT round(any_value(n) / count(*) * sum((x - m) * (y - m)) / any_value(ss), 7) AS morans_i, any_value(n) AS n, count(*)::DOUBLE AS weights FROM p, s""")
+SELECT round(any_value(n) / count(*) * sum((x - m) * (y - m)) / any_value(ss), 7) AS morans_i, (SELECT n FROM s) AS n, count(*)::DOUBLE AS weights FROM p, s""")
 def _(t):
     b = boxes(t)
     cols = ["x0", "x1", "y0", "y1"]

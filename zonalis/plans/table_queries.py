@@ -206,13 +206,13 @@ def _(t):
 
 @query("pivot_state_year", "2.5-04", sql="""
 SELECT year(o_orderdate)::INTEGER AS yr, """ + ", ".join(
-    f"round(avg(o_totalprice) FILTER (WHERE o_orderstatus = '{s}'), 4) AS status_{s.lower()}" for s in "FOP") + ", "
+    f"round(avg(o_totalprice) FILTER (WHERE o_orderstatus = '{s}'), 6) AS status_{s.lower()}" for s in "FOP") + ", "
        + ", ".join(f"count(*) FILTER (WHERE o_orderstatus = '{s}') AS n_{s.lower()}" for s in "FOP") + " FROM orders GROUP BY 1")
 def _(t):
     o = t.orders.select(F.year("o_orderdate").alias("yr"), "o_orderstatus", "o_totalprice")
     m = A.pivot_mean(o, ["yr"], "o_orderstatus", ["F", "O", "P"], "o_totalprice")
     n = A.pivot_count(o, ["yr"], "o_orderstatus", ["F", "O", "P"])
-    return m.select("yr", *[r(F.col(s), 4).alias(f"status_{s.lower()}") for s in "FOP"]).join(
+    return m.select("yr", *[r(F.col(s), 6).alias(f"status_{s.lower()}") for s in "FOP"]).join(
         n.select("yr", *[F.col(s).alias(f"n_{s.lower()}") for s in "FOP"]), "yr")
 
 
@@ -325,13 +325,13 @@ def _(t):
 @query("usage_report", "2.5-16", sql="""
 WITH e AS (SELECT *, CASE WHEN value > 50 THEN 'csv' WHEN value > 20 THEN 'json' ELSE 'parquet' END AS f FROM events
   WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25')
-SELECT 'total' AS section, 'all' AS item, count(*) AS n, round(avg(value), 6) AS mean FROM e
-UNION ALL SELECT 'kind', event_type, count(*), round(avg(value), 6) FROM e GROUP BY event_type
-UNION ALL SELECT 'format', f, count(*), round(avg(value), 6) FROM e GROUP BY f""")
+SELECT 'total' AS section, 'all' AS item, count(*) AS n, round(avg(value), 8) AS mean FROM e
+UNION ALL SELECT 'kind', event_type, count(*), round(avg(value), 8) FROM e GROUP BY event_type
+UNION ALL SELECT 'format', f, count(*), round(avg(value), 8) FROM e GROUP BY f""")
 def _(t):
     fmt = F.when(F.col("value") > 50, "csv").when(F.col("value") > 20, "json").otherwise("parquet")
     u = A.usage_report(t.events, "ts", "event_type", fmt, "value", "2024-01-05", "2024-01-25")
-    return u.withColumn("mean", r(F.col("mean"), 6))
+    return u.withColumn("mean", r(F.col("mean")))
 
 
 @query("operation_statistics", "2.5-17", sql="""

@@ -41,8 +41,19 @@ def shared_folder(spark: SparkSession) -> str:
     return local
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/zonalis/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/zonalis/{label}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Drop what this application wrote to the shared folder, once its results are saved."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
