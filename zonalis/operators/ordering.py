@@ -109,8 +109,12 @@ def positions(
     )
     s = with_edges(slices, edges.drop("low"), group)
     inside = Window.partitionBy(SLICE, *group)
-    run = inside.orderBy(POS)
-    out = s.withColumn("_rn", F.coalesce(F.col("_before"), zero) + F.row_number().over(run))
+    # The order key leads, so that ranking on its first columns needs no other sort.
+    run = inside.orderBy(*sort_columns(order), POS)
+    before = F.coalesce(F.col("_before"), zero)
+    out = s.withColumn("_rn", before + F.row_number().over(run))
+    if ties is not None:
+        out = out.withColumn("_local", before + F.rank().over(inside.orderBy(*sort_columns(order[: len(ties)]))))
     out = out.withColumn("_n", F.coalesce("_gn", F.count(F.lit(1)).over(inside)))
     if weight:
         rows = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -130,10 +134,9 @@ def positions(
     starts = first.join(
         F.broadcast(edges), (F.col(f"f.{SLICE}") == edges[SLICE]) & F.col("_k.g").eqNullSafe(edges["_g"])
     ).select(F.col("_k").alias("_sk"), (F.col("_before") + F.col(f"f.{POS}") - F.col("low") + 1).alias("_start"))
-    local = F.min("_rn").over(Window.partitionBy(SLICE, *group, *ties))
     out = out.withColumn("_k", F.struct(F.col("_g").alias("g"), F.struct(*ties).alias("t")))
     out = out.join(F.broadcast(starts), out["_k"].eqNullSafe(starts["_sk"]), "left")
-    return out.withColumn("_rank", F.coalesce("_start", local)).drop(*drop, "_k", "_sk", "_start")
+    return out.withColumn("_rank", F.coalesce("_start", "_local")).drop(*drop, "_k", "_sk", "_start", "_local")
 
 
 def value_runs(df: DataFrame, value: str, group: Sequence[str] = (), *, weight: str | None = None, **kw) -> DataFrame:
