@@ -218,3 +218,52 @@ def test_stream_appends_what_the_batch_counts(spark):
     usage.write_daily_usage(spark.readStream.schema(d.schema).parquet(f"{base}/in"), f"{base}/append", f"{base}/state2", ts="ts", kind="kind", value="value").awaitTermination()
     closed = {tuple(r) for r in spark.read.parquet(f"{base}/append").collect()}
     assert closed <= {tuple(r) for r in want} and closed
+
+
+def test_untyped_null_column_survives_ordering(split):
+    from zonalis.operators.ordering import positions
+    d = split.range(20).withColumn("nothing", F.lit(None))
+    out = positions(d, ["id"])
+    assert out.select("id", "nothing").columns == ["id", "nothing"] and out.count() == 20
+
+
+def test_export_limits(spark):
+    d = spark.createDataFrame([(1, [1, 2])], "id int, xs array<int>")
+    assert quality.export_limits(d, "csv") == ["nested column xs"]
+    assert quality.export_limits(d, "geojson") == ["no geometry"]
+    assert quality.export_limits(d.withColumn("latitude", F.lit(1.0)), "geojson") == []
+
+
+def test_scratch_is_dropped(spark):
+    from zonalis.session import clear_scratch, materialise
+    kept = materialise(spark.range(3), "t")
+    assert kept.count() == 3
+    assert clear_scratch(spark)
+
+
+def test_mixed_versions(spark):
+    from zonalis.operators import mapping
+    v1 = spark.createDataFrame([("101021007", 212.0, 1)], "area_code string, temp_max double, quality_code int")
+    v2 = spark.createDataFrame([("201021001", 20.0, "2.0.0")], "geographic_id string, max_temperature double, schema_version string")
+    rows = {r.geographic_id: r for r in mapping.read_mixed_versions(v1, v2, fahrenheit=["max_temperature"]).collect()}
+    assert rows["101021007"].max_temperature == 100.0 and rows["101021007"].quality_flag == "Y"
+    assert rows["201021001"].quality_flag is None
+
+
+def test_keyset_pages_cover_the_table(spark):
+    from zonalis.operators import mapping
+    d = spark.range(25).withColumnRenamed("id", "k")
+    seen, last = [], None
+    while rows := mapping.page_after(d, "k", last, 10).collect():
+        seen += [r.k for r in rows]
+        last = seen[-1]
+    assert seen == list(range(25))
+
+
+def test_employment_imputed_before_zero_fill(spark):
+    rows = [("101021001", 10, 4), ("101021002", 30, 8), ("101021003", 5, None)]
+    d = spark.createDataFrame(rows, "geographic_id string, labour_force_pop int, unemployed int")
+    d = census.with_levels(d)
+    got = {r.geographic_id: r.unemployed for r in census.employment(d, impute_first=True).collect()}
+    assert got["101021003"] == 8
+    assert {r.geographic_id: r.unemployed for r in census.employment(d).collect()}["101021003"] == 0

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.operators.common import attach_row
-from zonalis.operators.ordering import carried_value, exact_quantiles, positions, value_runs
+from zonalis.operators.ordering import carried_value, exact_quantiles, neighbours, value_runs
 
 _KEY = "_field"
 
@@ -119,11 +119,7 @@ def fill_backward(df: DataFrame, column: str, order: Sequence[str], group: Seque
 
 def fill_interpolated(df: DataFrame, column: str, order: Sequence[str], group: Sequence[str] = (), **kw) -> DataFrame:
     """Linear in row order between the known neighbours; open ends stay null."""
-    p = positions(df, order, group, **kw)
-    known = F.when(F.col(column).isNotNull(), F.struct(F.col("_rn").alias("p"), F.col(column).cast("double").alias("v")))
-    p = p.withColumn("_known", known)
-    p = carried_value(p, "_known", order, group, out="_prev", **kw)
-    p = carried_value(p, "_known", order, group, backward=True, out="_next", **kw)
+    p = neighbours(df, column, order, group, **kw)
     gap = F.col("_next.p") - F.col("_prev.p")
     between = F.col("_prev.v") + (F.col("_next.v") - F.col("_prev.v")) * (F.col("_rn") - F.col("_prev.p")) / gap
     return p.withColumn(column, F.coalesce(F.col(column).cast("double"), F.when(gap > 0, between))).select(*df.columns)

@@ -213,3 +213,49 @@ def carried_value(
     else:
         here = F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return s.withColumn(out, F.coalesce(here, F.col("_carry"))).drop(SLICE, POS, "_g", "_carry")
+
+
+def neighbours(
+    df: DataFrame,
+    value: str,
+    order: Sequence[str],
+    group: Sequence[str] = (),
+    *,
+    single_task_bytes: int | None = None,
+) -> DataFrame:
+    """Adds _rn (position in group) and the nearest known values at or before and at
+    or after each row, as structs _prev and _next of position p and value v."""
+    def known(position: Column) -> Column:
+        return F.when(F.col(value).isNotNull(), F.struct(position.alias("p"), F.col(value).cast("double").alias("v")))
+
+    def both(w):
+        past = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.last("_known", True).over(past), F.first("_known", True).over(w.rowsBetween(0, Window.unboundedFollowing))
+
+    if fits_one_task(df, single_task_bytes):
+        w = Window.partitionBy(*group).orderBy(*order)
+        out = df.withColumn("_rn", F.row_number().over(w).cast("long")).withColumn("_known", known(F.col("_rn")))
+        prev, following = both(w)
+        return out.withColumns({"_prev": prev, "_next": following}).drop("_known")
+
+    slices = sorted_slices(df, group, order)
+    at = F.when(F.col(value).isNotNull(), F.col(POS))
+    edges = edge_totals(
+        slices, group, cnt=F.count(F.lit(1)), low=F.min(POS),
+        firstk=F.min_by(known(F.col(POS)), at), lastk=F.max_by(known(F.col(POS)), at))
+    run = Window.partitionBy("_g").orderBy(SLICE)
+    earlier, later = run.rowsBetween(Window.unboundedPreceding, -1), run.rowsBetween(1, Window.unboundedFollowing)
+    edges = edges.withColumn("_before", F.coalesce(F.sum("cnt").over(earlier), F.lit(0)))
+
+    def in_group(c: str) -> Column:
+        moved = F.struct((F.col("_before") + F.col(f"{c}.p") - F.col("low") + 1).alias("p"), F.col(f"{c}.v").alias("v"))
+        return F.when(F.col(c).isNotNull(), moved)
+
+    edges = edges.withColumns({"firstk": in_group("firstk"), "lastk": in_group("lastk")}).select(
+        SLICE, "_g", "_before", F.last("lastk", True).over(earlier).alias("_pc"), F.first("firstk", True).over(later).alias("_nc"))
+    w = Window.partitionBy(SLICE, *group).orderBy(POS)
+    s = with_edges(slices, edges, group)
+    s = s.withColumn("_rn", F.coalesce("_before", F.lit(0)) + F.row_number().over(w)).withColumn("_known", known(F.col("_rn")))
+    prev, following = both(w)
+    return s.withColumns({"_prev": F.coalesce(prev, "_pc"), "_next": F.coalesce(following, "_nc")}).drop(
+        SLICE, POS, "_g", "_before", "_pc", "_nc", "_known")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonalis.functions import fixed_values as V  # noqa: F401
 from zonalis.operators.common import attach_row
 from zonalis.operators.ordering import exact_quantiles, positions
 

@@ -109,49 +109,95 @@ def close_locations(df: DataFrame, lon: str, lat: str, km: float = 0.1, hot_rows
     return near.groupBy("lon", "lat", "copies").agg(F.count(F.lit(1)).alias("close"), F.min("_km").alias("nearest_km"))
 
 
-def far_locations(df: DataFrame, lon: str, lat: str, km: float = 4000.0, size: float = 2.0) -> DataFrame:
+def far_locations(df: DataFrame, lon: str, lat: str, km: float = 4000.0, sizes: tuple[float, ...] = (2.0, 0.25)) -> DataFrame:
     """Locations with another one farther than km.
 
-    Whole cells are judged by the bounds of their distance; only points of cells
-    that straddle the limit are measured one by one.  The cell list is bounded by
-    the grid (at most (360/size)·(180/size) entries).
+    Whole cells are judged by the bounds of their distance, first coarse ones, then
+    the finer cells inside pairs that straddle the limit; only what still straddles
+    it is measured point by point.  Cell lists are bounded by the grid, not the data.
     """
-    loc = _point_cells(_locations(df, lon, lat), "lon", "lat", size)
-    centre_lon, centre_lat = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
-    reach = F.lit(size / 2 * 2 ** 0.5 * KM_PER_DEGREE)
-    cells = loc.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_k"))
-    listed = cells.agg(F.collect_list(F.struct("_cx", "_cy", centre_lon.alias("x"), centre_lat.alias("y"))).alias("_cells"))
+    def x(c, size):
+        return (c + 0.5) * size
+
+    def reach(size):
+        return F.lit(size / 2 * 2 ** 0.5 * KM_PER_DEGREE)
+
+    loc = _locations(df, lon, lat)
+    size = sizes[0]
+    cells = _point_cells(loc, "lon", "lat", size).select(*CELL).distinct()
+    listed = cells.agg(F.collect_list(F.struct(*CELL)).alias("_cells"))
     own = attach_row(cells, listed)
 
-    def gap(c):
-        return geo.haversine_km(centre_lat, centre_lon, c["y"], c["x"])
+    def coarse_gap(c):
+        return geo.haversine_km(x(F.col("_cy"), size), x(F.col("_cx"), size), x(c["_cy"], size), x(c["_cx"], size))
 
     own = own.select(
-        *CELL, F.exists("_cells", lambda c: gap(c) - 2 * reach > km).alias("_sure"),
-        F.filter("_cells", lambda c: (gap(c) + 2 * reach > km) & (gap(c) - 2 * reach <= km)).alias("_maybe"))
-    judged = loc.join(own, CELL)
-    sure = judged.filter("_sure").select("lon", "lat", "copies")
-    asked = judged.filter("NOT _sure").select("lon", "lat", "copies", F.explode("_maybe").alias("c")).select(
-        "lon", "lat", "copies", F.col("c._cx").alias("_cx"), F.col("c._cy").alias("_cy"))
-    others = loc.select(F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), *CELL)
+        F.struct(*CELL).alias("a"), F.exists("_cells", lambda c: coarse_gap(c) - 2 * reach(size) > km).alias("sure"),
+        F.filter("_cells", lambda c: coarse_gap(c) + 2 * reach(size) > km).alias("maybe"))
+    pairs = materialise(own.select("a", "sure", F.explode_outer("maybe").alias("b")), "far")
+
+    def placed(d, size):
+        p = _point_cells(d, "lon", "lat", size)
+        return p.withColumn("cell", F.struct(*CELL)).drop(*CELL)
+
+    done, todo = None, loc
+    for n, size in enumerate(sizes):
+        here = placed(todo, size)
+        sure_cells = pairs.filter("sure").select(F.col("a").alias("cell")).distinct()
+        found = here.join(sure_cells, "cell", "left_semi").select("lon", "lat", "copies")
+        done = found if done is None else done.unionByName(found)
+        open_pairs = pairs.filter("NOT sure AND b IS NOT NULL").select("a", "b")
+        todo = here.join(open_pairs.select(F.col("a").alias("cell")).distinct(), "cell", "left_semi").select("lon", "lat", "copies")
+        if n + 1 == len(sizes):
+            break
+        fine = sizes[n + 1]
+
+        def nested(d, parent, child):
+            outer = placed(d, size).withColumnRenamed("cell", parent)
+            return placed(outer, fine).withColumnRenamed("cell", child).select(parent, child).distinct()
+
+        j = nested(todo, "a", "fa").join(open_pairs, "a").join(nested(loc, "b", "fb"), "b")
+        gap = geo.haversine_km(x(F.col("fa._cy"), fine), x(F.col("fa._cx"), fine), x(F.col("fb._cy"), fine), x(F.col("fb._cx"), fine))
+        j = j.select("fa", "fb", gap.alias("gap")).filter(F.col("gap") + 2 * reach(fine) > km)
+        j = materialise(j, "far")
+        best = j.groupBy("fa").agg((F.max("gap") - 2 * reach(fine) > km).alias("sure"))
+        pairs = materialise(j.join(best, "fa").select(F.col("fa").alias("a"), "sure", F.col("fb").alias("b")).filter(
+            ~F.col("sure")).unionByName(best.filter("sure").select(F.col("fa").alias("a"), "sure", F.lit(None).cast(j.schema["fb"].dataType).alias("b"))), "far")
+    asked = placed(todo, size).join(open_pairs, F.col("cell") == F.col("a")).select("lon", "lat", "copies", F.col("b").alias("cell"))
+    others = placed(loc, size).select(F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), "cell")
     d = geo.haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
-    found = salted_join(asked, others, CELL, ["lon", "lat"]).filter(d > km)
-    return sure.unionByName(found.groupBy("lon", "lat", "copies").agg(F.count(F.lit(1)).alias("_n")).drop("_n"))
+    measured = salted_join(asked, others, ["cell"], ["lon", "lat"]).filter(d > km)
+    return done.unionByName(measured.groupBy("lon", "lat", "copies").agg(F.count(F.lit(1)).alias("_n")).drop("_n"))
+
+
+def _grid_sizes(st: DataFrame) -> tuple[float, ...]:
+    """From half the mean spacing of the points up to the whole globe, by fours."""
+    row = st.agg(F.count(F.lit(1)).alias("n"), (F.max("_slon") - F.min("_slon")).alias("w"), (F.max("_slat") - F.min("_slat")).alias("h")).first()
+    spread = max(row["w"] or 0.0, 0.01) * max(row["h"] or 0.0, 0.01)
+    size = min(16.0, max(0.01, 0.5 * (spread / max(row["n"], 1)) ** 0.5))
+    out = []
+    while size < 180:
+        out.append(size)
+        size *= 4
+    return (*out, 360.0)
 
 
 def nearest_station(areas: DataFrame, stations: DataFrame, *, area: tuple[str, str, str], station: tuple[str, str, str],
-                    sizes: tuple[float, ...] = (1.0, 4.0, 16.0, 64.0, 360.0), hot_rows: int | None = None) -> DataFrame:
+                    sizes: tuple[float, ...] | None = None, hot_rows: int | None = None) -> DataFrame:
     """Each area's nearest station and distance in km; ties by station id.
 
-    Searches the 3x3 cells around each area and accepts a station no farther than
-    that neighbourhood surely covers; the rest tries a coarser grid.  Each round is
+    Stations at one point are first reduced to the least id.  Searches the 3x3 cells
+    around each area and accepts a station no farther than that neighbourhood
+    surely covers; the rest tries a grid four times coarser.  The first grid follows
+    the stations' density, so dense places meet few candidates.  Each round is
     written out, so rounds are never recomputed.
     """
     aid, alon, alat = area
     sid, slon, slat = station
     todo = areas.select(aid, alon, alat).filter(F.col(alon).isNotNull() & F.col(alat).isNotNull())
     st = stations.select(F.col(sid).alias("station_id"), F.col(slon).alias("_slon"), F.col(slat).alias("_slat")).filter(
-        "_slon IS NOT NULL AND _slat IS NOT NULL")
+        "_slon IS NOT NULL AND _slat IS NOT NULL").groupBy("_slon", "_slat").agg(F.min("station_id").alias("station_id"))
+    sizes = sizes or _grid_sizes(st)
     st = st.withColumn("_slon", F.explode(F.array(F.col("_slon"), F.col("_slon") + 360, F.col("_slon") - 360)))
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     done = None

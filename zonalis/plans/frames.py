@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.functions import codes
 from zonalis.functions import fixed_values as V
 from zonalis.plans.registry import Tables
 
@@ -143,5 +142,5 @@ def with_sql(*ctes: str) -> str:
     return "WITH " + ", ".join(ctes) + " "
 
 
-__all__ = ["AGES", "AGE_COLUMNS", "AREAS", "HOUSING", "LABOUR", "ages", "areas", "codes", "housing",
+__all__ = ["AGES", "AGE_COLUMNS", "AREAS", "HOUSING", "LABOUR", "ages", "areas", "housing",
            "labour", "r", "with_sql"]

@@ -347,7 +347,7 @@ def series(t):
 
 def aligned(t, strategy, pattern=None):
     d = T.align_to_date(series(t), ["area", "field"], reference="1998-06-15", strategy=strategy, pattern=pattern)
-    return d.withColumns({"value": r(F.col("value"), 5), "confidence": r(F.col("confidence"))})
+    return d.withColumns({"value": r(F.col("value"), 7), "confidence": r(F.col("confidence"))})
 
 
 _NEAR = ("nv", "coalesce(nq * (1 - nd / 730.0), 0)", "CASE WHEN nv IS NULL THEN 'no_data_within_tolerance' ELSE 'nearest_available' END")
@@ -359,7 +359,7 @@ _INTER = (f"CASE WHEN {_CAN} THEN bv * (1 - {_W}) + av * {_W} ELSE {_NEAR[0]} EN
 
 
 def _align_sql(v, c, m):
-    return with_sql(_SERIES) + f"SELECT area, field, round({v}, 5) AS value, round({c}, 8) AS confidence, {m} AS method FROM g"
+    return with_sql(_SERIES) + f"SELECT area, field, round({v}, 7) AS value, round({c}, 8) AS confidence, {m} AS method FROM g"
 
 
 @query("aligned_exact", "2.12-14", sql=_align_sql("ev", "coalesce(eq, 0)", "CASE WHEN ev IS NULL THEN 'no_exact_match' ELSE 'exact_match' END"))

@@ -9,6 +9,7 @@ from zonalis.plans import marts
 from zonalis.plans.frames import AREAS, HOUSING, LABOUR, areas, housing, labour, r, with_sql
 from zonalis.plans.registry import query
 
+# Boxes lie along a strip, so that each meets a handful of others at any scale.
 # Areas are customers; deaths are their orders, services their orders' lines;
 # stations are suppliers with their lines' observations.
 RAW_CTES = (AREAS, LABOUR, """
@@ -223,14 +224,14 @@ def _(t):
     return J.allocated_totals(m, ["people"]).withColumn("people", r(F.col("people"), 6))
 
 
-BOXES = """boxes AS (SELECT s_suppkey AS box_id, s_acctbal AS people, 113.0 + ((s_suppkey * 37) % 380) / 10.0 AS x0, 113.0 + ((s_suppkey * 37) % 380) / 10.0 + 0.5 + (s_suppkey % 7) * 0.5 AS x1,
+BOXES = """boxes AS (SELECT s_suppkey AS box_id, s_acctbal AS people, 113.0::DOUBLE + s_suppkey * 0.37::DOUBLE AS x0, 113.0::DOUBLE + s_suppkey * 0.37::DOUBLE + 0.5 + (s_suppkey % 7) * 0.5 AS x1,
   -43.0 + ((s_suppkey * 53) % 310) / 10.0 AS y0, -43.0 + ((s_suppkey * 53) % 310) / 10.0 + 0.5 + (s_suppkey % 5) * 0.5 AS y1 FROM supplier)"""
 _BOX = ["x0", "x1", "y0", "y1"]
 
 
 def boxes(t):
     k = F.col("s_suppkey")
-    x0, y0 = 113.0 + ((k * 37) % 380) / 10.0, -43.0 + ((k * 53) % 310) / 10.0
+    x0, y0 = 113.0 + k * 0.37, -43.0 + ((k * 53) % 310) / 10.0
     return t.supplier.select(k.alias("box_id"), F.col("s_acctbal").alias("people"), x0.alias("x0"), (x0 + 0.5 + (k % 7) * 0.5).alias("x1"),
                              y0.alias("y0"), (y0 + 0.5 + (k % 5) * 0.5).alias("y1"))
 
@@ -265,9 +266,9 @@ _KM = "2 * 6371.0 * asin(least(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + co
 
 
 @query("close_centroids", "2.4-12", sql=with_sql(AREAS, f"d AS (SELECT a.lon, a.lat, {_KM} AS km FROM areas a JOIN areas b ON a.area_id <> b.area_id)") + """
-SELECT lon, lat, 1::BIGINT AS copies, count(*) AS close, round(min(km), 6) AS nearest_km FROM d WHERE km < 20 GROUP BY 1, 2""")
+SELECT lon, lat, 1::BIGINT AS copies, count(*) AS close, round(min(km), 6) AS nearest_km FROM d WHERE km < 5 GROUP BY 1, 2""")
 def _(t):
-    c = P.close_locations(areas(t), "lon", "lat", 20.0)
+    c = P.close_locations(areas(t), "lon", "lat", 5.0)
     return c.withColumn("nearest_km", r(F.col("nearest_km"), 6))
 
 

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Inputs whose scans stay below this fit one task comfortably.
 SINGLE_TASK_BYTES = 16 * 1024 * 1024
@@ -60,8 +62,12 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut lineage through a table in the shared folder, so that losing an
     executor never recomputes (and so never renumbers) what was derived from it."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Files hold no untyped nulls; such columns are put back on reading.
+    void = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
+    stored = df.drop(*void)
+    stored.write.parquet(path)
+    back = df.sparkSession.read.schema(stored.schema).parquet(path)
+    return back.withColumns({c: F.lit(None) for c in void}).select(*df.columns) if void else back
 
 
 def scanned_bytes(df: DataFrame) -> int:
