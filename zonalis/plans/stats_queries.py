@@ -206,7 +206,8 @@ def _(t):
 @query("usage_stream", "2.16-01", sql="SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS kind, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1, 2")
 def _(t):
     """The same counts kept by a stream over the event files."""
-    stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+    # A pattern, so that the table may be one file or a folder of files.
+    stream = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/event[s].parquet")
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     base = scratch_path(t.spark, "usage")
     q = usage.upsert_daily_usage(stream, f"{base}/out", f"{base}/state", ts="ts", kind="event_type", value="value")
