@@ -267,3 +267,22 @@ def test_employment_imputed_before_zero_fill(spark):
     got = {r.geographic_id: r.unemployed for r in census.employment(d, impute_first=True).collect()}
     assert got["101021003"] == 8
     assert {r.geographic_id: r.unemployed for r in census.employment(d).collect()}["101021003"] == 0
+
+
+def test_nearest_station_in_a_crowded_city(split):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    st = [(i, 151.0 + float(x) / 100, -33.0 + float(y) / 100) for i, (x, y) in enumerate(rng.random((150, 2)))]
+    st += [(1000 + i, 113.0 + float(x) * 40, -43.0 + float(y) * 30) for i, (x, y) in enumerate(rng.random((50, 2)))]
+    pts = [(i, 151.0 + float(x) / 100, -33.0 + float(y) / 100) for i, (x, y) in enumerate(rng.random((60, 2)))]
+    pts += [(100 + i, 113.0 + float(x) * 40, -43.0 + float(y) * 30) for i, (x, y) in enumerate(rng.random((40, 2)))]
+    a = split.createDataFrame(pts, "id int, lon double, lat double")
+    s = split.createDataFrame(st, "sid int, slon double, slat double")
+    got = {r.id: r.station_id for r in spatial.nearest_station(a, s, area=("id", "lon", "lat"), station=("sid", "slon", "slat")).collect()}
+
+    def km(p, q):
+        la1, la2, dlo = math.radians(p[2]), math.radians(q[2]), math.radians(q[1] - p[1])
+        h = math.sin((la2 - la1) / 2) ** 2 + math.cos(la1) * math.cos(la2) * math.sin(dlo / 2) ** 2
+        return 2 * math.asin(math.sqrt(h))
+
+    assert got == {p[0]: min(st, key=lambda q: (km(p, q), q[0]))[0] for p in pts}

@@ -170,11 +170,17 @@ def far_locations(df: DataFrame, lon: str, lat: str, km: float = 4000.0, sizes:
     return done.unionByName(measured.groupBy("lon", "lat", "copies").agg(F.count(F.lit(1)).alias("_n")).drop("_n"))
 
 
-def _grid_sizes(st: DataFrame) -> tuple[float, ...]:
-    """From half the mean spacing of the points up to the whole globe, by fours."""
+CROWDED = 32
+
+
+def _start_size(st: DataFrame) -> float:
+    """About twice the mean spacing of the stations."""
     row = st.agg(F.count(F.lit(1)).alias("n"), (F.max("_slon") - F.min("_slon")).alias("w"), (F.max("_slat") - F.min("_slat")).alias("h")).first()
     spread = max(row["w"] or 0.0, 0.01) * max(row["h"] or 0.0, 0.01)
-    size = min(16.0, max(0.01, 0.5 * (spread / max(row["n"], 1)) ** 0.5))
+    return min(16.0, max(0.001, 2 * (spread / max(row["n"], 1)) ** 0.5))
+
+
+def _by_fours(size: float) -> tuple[float, ...]:
     out = []
     while size < 180:
         out.append(size)
@@ -182,23 +188,13 @@ def _grid_sizes(st: DataFrame) -> tuple[float, ...]:
     return (*out, 360.0)
 
 
-def nearest_station(areas: DataFrame, stations: DataFrame, *, area: tuple[str, str, str], station: tuple[str, str, str],
-                    sizes: tuple[float, ...] | None = None, hot_rows: int | None = None) -> DataFrame:
-    """Each area's nearest station and distance in km; ties by station id.
+def _crowded(st: DataFrame, size: float) -> DataFrame:
+    """Cells with more stations than one search should meet."""
+    return _point_cells(st, "_slon", "_slat", size).groupBy(*CELL).agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > CROWDED).select(*CELL)
 
-    Stations at one point are first reduced to the least id.  Searches the 3x3 cells
-    around each area and accepts a station no farther than that neighbourhood
-    surely covers; the rest tries a grid four times coarser.  The first grid follows
-    the stations' density, so dense places meet few candidates.  Each round is
-    written out, so rounds are never recomputed.
-    """
+
+def _search_rounds(todo: DataFrame, st: DataFrame, area: tuple[str, str, str], sizes: tuple[float, ...], hot_rows: int | None) -> DataFrame:
     aid, alon, alat = area
-    sid, slon, slat = station
-    todo = areas.select(aid, alon, alat).filter(F.col(alon).isNotNull() & F.col(alat).isNotNull())
-    st = stations.select(F.col(sid).alias("station_id"), F.col(slon).alias("_slon"), F.col(slat).alias("_slat")).filter(
-        "_slon IS NOT NULL AND _slat IS NOT NULL").groupBy("_slon", "_slat").agg(F.min("station_id").alias("station_id"))
-    sizes = sizes or _grid_sizes(st)
-    st = st.withColumn("_slon", F.explode(F.array(F.col("_slon"), F.col("_slon") + 360, F.col("_slon") - 360)))
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     done = None
     for n, size in enumerate(sizes):
@@ -222,6 +218,38 @@ def nearest_station(areas: DataFrame, stations: DataFrame, *, area: tuple[str, s
     return done
 
 
+def nearest_station(areas: DataFrame, stations: DataFrame, *, area: tuple[str, str, str], station: tuple[str, str, str],
+                    sizes: tuple[float, ...] | None = None, hot_rows: int | None = None) -> DataFrame:
+    """Each area's nearest station and distance in km; ties by station id.
+
+    Stations at one point are first reduced to the least id.  A round searches the
+    3x3 cells around each area and accepts a station no farther than that
+    neighbourhood surely covers; the rest tries a grid four times coarser.  The first
+    grid follows the stations' spacing; areas in cells crowded with stations start on
+    a grid fine enough to thin them out.  Each round is written, so none is recomputed.
+    """
+    aid, alon, alat = area
+    sid, slon, slat = station
+    todo = areas.select(aid, alon, alat).filter(F.col(alon).isNotNull() & F.col(alat).isNotNull())
+    st = stations.select(F.col(sid).alias("station_id"), F.col(slon).alias("_slon"), F.col(slat).alias("_slat")).filter(
+        "_slon IS NOT NULL AND _slat IS NOT NULL").groupBy("_slon", "_slat").agg(F.min("station_id").alias("station_id"))
+    st = st.withColumn("_slon", F.explode(F.array(F.col("_slon"), F.col("_slon") + 360, F.col("_slon") - 360)))
+    if sizes:
+        return _search_rounds(todo, st, area, sizes, hot_rows)
+    start = _start_size(st.filter(F.col("_slon").between(-180, 180)))
+    crowded = materialise(_crowded(st, start), "crowded")
+    if crowded.isEmpty():
+        return _search_rounds(todo, st, area, _by_fours(start), hot_rows)
+    fine = start / 4
+    while fine > 1e-4 and not _crowded(st, fine).isEmpty():
+        fine /= 4
+    placed = _point_cells(todo, alon, alat, start)
+    inside = placed.join(crowded, CELL, "left_semi").select(aid, alon, alat)
+    outside = placed.join(crowded, CELL, "left_anti").select(aid, alon, alat)
+    return _search_rounds(outside, st, area, _by_fours(start), hot_rows).unionByName(
+        _search_rounds(inside, st, area, _by_fours(fine), hot_rows))
+
+
 def area_relations(areas: DataFrame, services: DataFrame, *, area_id: str, box: list[str], population: str,
                    service: tuple[str, str, str], size: float = 1.0) -> DataFrame:
     """Per area: number of other areas its box meets, services inside, and people
