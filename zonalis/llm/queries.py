@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonalis.llm import signature_tree
+from zonalis.llm import credentials, signature_tree
 from zonalis.llm.sql import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,5 +28,11 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), k=4, threshold=signature_tree.Threshold(85, 100), fold_case=True)
 
 
+@query
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Base secrets and the weak parts that complete them, in every whole text."""
+    return credentials.digest(credentials.find_credentials(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, sql in SQL.items() if name in QUERIES}

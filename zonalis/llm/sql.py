@@ -18,3 +18,33 @@ r as (select doc_id as node, doc_id as seen from documents union select r.node,
 select d.doc_id, coalesce(n.n, 0) as n_shingles, (select min(seen) from r where r.node = d.doc_id) as component_id
 from documents d left join n on n.doc_id = d.doc_id""",
 }
+
+
+def _secret_scan() -> str:
+    from zonalis.llm import credentials as c
+
+    quoted = {k: p.replace("'", "''") for k, p in (c.BASE | c.WEAK).items()}
+    tests = {"assign": f"length(regexp_extract(m, '{quoted['assign']}', 2)) >= {c.ASSIGN_LEAST}",
+             "token": "regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Z]') and regexp_matches(m, '[a-z]')"}
+    kinds = " union all ".join(
+        f"""select doc_id, {at} as kind, '{k}' as name, finish - length(m) as start, finish from (
+            select doc_id, m, sum(length(m) + length(g)) over (partition by doc_id order by i) as finish from (
+            select doc_id, unnest(regexp_extract_all(text, '{p}')) as m, unnest(regexp_split_to_array(text, '{p}')) as g,
+              unnest(range(len(regexp_extract_all(text, '{p}')) + 1)) as i from documents where regexp_matches(text, '{p}')))
+          where m is not null and {tests.get(k, 'true')}""" for at, (k, p) in enumerate(quoted.items()))
+    listed = "string_agg(name || ':' || start::bigint || ':' || finish::bigint, ',' order by start, kind)"
+    return f"""
+with p as ({kinds}),
+clear as (select *, coalesce(max(case when kind < 3 then finish end) over (partition by doc_id order by start, kind rows between unbounded preceding and 1 preceding), 0) <= start
+    and coalesce(min(case when kind < 3 then start end) over (partition by doc_id order by start, kind rows between 1 following and unbounded following), finish) >= finish as clear from p),
+near as (select *, max((name in ('access', 'login'))::int) over w as who, max((name in ('assign', 'hex', 'token'))::int) over w as what
+  from clear where kind < 3 or clear window w as (partition by doc_id order by start range between {c.SCOPE} preceding and {c.SCOPE} following)),
+told as (select * from near where kind < 3 or (name = 'token' and who = 1) or (name = 'login' and what = 1) or (name = 'endpoint' and who = 1 and what = 1)),
+s as (select doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex,
+  {listed} filter (kind < 3) as base, {listed} as spans from told group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents d left join s on s.doc_id = d.doc_id"""
+
+
+SQL["op10_secret_scan"] = _secret_scan()
