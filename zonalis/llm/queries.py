@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonalis.llm import credentials, signature_tree
+from zonalis.llm import credentials, signature_tree, suffix_automata
 from zonalis.llm.sql import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words covered by a window of 13 words that starts in a document of a smaller id."""
+    out = suffix_automata.dedup_substrings(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct 4-word shingles in lower case, linked from a Jaccard similarity of 0.85."""

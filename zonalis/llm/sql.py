@@ -3,6 +3,15 @@
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 SQL = {
+    "op3_substring_dedup": rf"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') as w from documents),
+g as (select doc_id, i, array_to_string(w[i:i+12], ' ') as g from d, lateral (select unnest(range(1, len(w) - 11)) as i)),
+m as (select g, min(doc_id) as first from g group by g),
+c as (select distinct g.doc_id, i + j as at from g join m on m.g = g.g and m.first < g.doc_id, lateral (select unnest(range(0, 13)) as j)),
+k as (select d.doc_id, i, w[i] as word, c.at is null as kept from d, lateral (select unnest(range(1, len(w) + 1)) as i) left join c on c.doc_id = d.doc_id and c.at = i)
+select d.doc_id, len(d.w) as n_words, count(*) filter (not kept) as n_removed,
+  sha256(coalesce(string_agg(word, ' ' order by i) filter (kept), '')) as kept_sha256
+from d left join k on k.doc_id = d.doc_id group by d.doc_id, d.w""",
     "op7_ngram_jaccard_join": rf"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') as w
