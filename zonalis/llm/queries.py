@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import credentials, signature_tree, suffix_automata
+from zonalis.llm import credentials, neighbour_quality, sentence_toxicity, signature_tree, suffix_automata
 from zonalis.llm.sql import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _fold(parts: int, held: int) -> Column:
+    """Whether crc32 of doc_id as text leaves the held-out remainder; false for a null id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == held, F.lit(False))
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Noisy-or of sentence scores, trained on the labels outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    model = sentence_toxicity.train(docs, table(spark, folder, "labels").filter(~_fold(3, 1)))
+    out = sentence_toxicity.score_toxicity(docs, model)
+    return out.select("doc_id", _fold(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                      F.size("offending").alias("n_offending"))
+
+
+@query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Neighbours' votes in the latent space of the labels outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    model = neighbour_quality.train(docs, table(spark, folder, "labels").filter(~_fold(4, 2)))
+    out = neighbour_quality.score_quality(docs, model)
+    return out.select("doc_id", _fold(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_neighbours")
+
+
 @query
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words covered by a window of 13 words that starts in a document of a smaller id."""
