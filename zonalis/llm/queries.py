@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import credentials, neighbour_quality, sentence_toxicity, signature_tree, suffix_automata
+from zonalis.llm import credentials, neighbour_quality, pfair, sentence_toxicity, signature_tree, suffix_automata
 from zonalis.llm.sql import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,13 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in blocks of 64, interleaved to equal shares of the sources."""
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    return pfair.schedule(docs)
+
+
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct 4-word shingles in lower case, linked from a Jaccard similarity of 0.85."""
