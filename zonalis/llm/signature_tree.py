@@ -2,11 +2,14 @@
 
 1. *Routing.*  A set is cut by hash into parts, one more than the most tokens in which
    a linked pair of that size can differ, plus some slack.  A linked pair then agrees
-   on a whole part that holds two tokens or more, so documents that share no part need
-   not meet.  Sizes are dealt with in overlapping classes.
-2. *Groups.*  Documents that agree on a part are joined by one link to the smallest of
-   them; components of these links are the candidate groups, cut into blocks of bounded
-   size.  Documents with equal sets are one entry.
+   on a whole part that holds two tokens or more, one of them not very common; documents
+   that share no part need not meet.  Sizes are dealt with in overlapping classes.  Small
+   sets have their rarest tokens as keys instead.  A set with so many small parts that the
+   promise fails gives keys of these as well.
+2. *Groups.*  The few documents of a key are tried pair by pair by their bitmaps; those of
+   a larger key are joined to the smallest of them.  Components of what remains are the
+   candidate groups, cut into blocks of bounded size.  Documents with equal sets are one
+   entry.
 3. *Signature trees.*  In a block, sets are the leaves of a tree whose nodes hold the OR
    of their bitmaps, the least bit count and the size range.  A dual traversal drops node
    pairs whose greatest possible overlap is too small, and pairs that are already
@@ -16,6 +19,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,8 +34,11 @@ from zonalis.llm.words import Words, chunks, mix
 from zonalis.session import materialise
 
 FAN = 16
-CLASS_RATIO = 1.6
+CLASS_RATIO = 1.3
+SMALL = 64  # sets of fewer tokens are routed by their rarest tokens
+FEW = 8  # documents of a key that are tried pair by pair
 BLOCK_SHINGLES = 1_500_000
+SAMPLE_DOCS, COMMON = 4_000, 200_000
 
 
 @dataclass(frozen=True)
@@ -67,85 +74,184 @@ def shingle_sets(words: Words, k: int) -> Iterator[np.ndarray]:
 
 
 def _class_bounds(largest: int) -> list[int]:
-    out = [1]
+    out = [SMALL]
     while out[-1] <= largest:
         out.append(max(out[-1] + 1, int(out[-1] * CLASS_RATIO)))
     return out
 
 
-def part_keys(tokens: np.ndarray, t: Threshold) -> np.ndarray:
-    """Keys of one set: a linked pair has one in common, see the module's head."""
+_PARTS: dict[tuple[int, int], tuple[int, int]] = {}
+
+
+def _parts(low: int, differing: int) -> tuple[int, int]:
+    """Number of parts for sets of `low` tokens or more, and how many of them may be small
+    without ending the promise of a large one in common: three deviations above the mean."""
+    if (low, differing) in _PARTS:
+        return _PARTS[low, differing]
+    slack = 1
+    while True:
+        m = differing + 1 + slack
+        share = low / m
+        small = m * math.exp(-share) * (1 + share)
+        if small + 3 * math.sqrt(small) <= slack or slack > differing:
+            _PARTS[low, differing] = m, slack
+            return m, slack
+        slack += 1
+
+
+def part_keys(tokens: np.ndarray, t: Threshold, common: np.ndarray) -> np.ndarray:
+    """Keys of one set: a linked pair has one in common, see the module's head.
+
+    `common` (sorted tokens) steers the choice of keys; whatever it holds, the promise is kept.
+    """
     n = len(tokens)
     if not n:
         return np.zeros(0, np.uint64)
+    rare = np.ones(n, bool)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        rare = common[at] != tokens
+    out = []
+    if n < SMALL:  # the rarest tokens, one more than a linked set can lack
+        lack = n - -(-t.num * n // t.den)
+        out.append(mix(tokens[np.lexsort((tokens, ~rare))][: lack + 1] ^ np.uint64(0x94D049BB133111EB)))
+    if t.den * n < t.num * SMALL:
+        return out[0]
     bounds = _class_bounds(n * t.den // t.num + 1)
     space = int(np.searchsorted(bounds, n, side="right")) - 1
-    spaces = [space]
+    spaces = [space] if space >= 0 else []
     if t.den * n >= t.num * bounds[space + 1]:
         spaces.append(space + 1)
     spread = mix(tokens ^ np.uint64(0x5851F42D4C957F2D))
-    spread.sort()
-    sums = np.zeros(n + 1, np.uint64)
+    order = np.argsort(spread)
+    spread = spread[order]
+    sums, rares = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.int64)
     np.cumsum(mix(spread), out=sums[1:])
-    high = (spread >> np.uint64(32)).astype(np.uint64)
-    out = []
+    np.cumsum(rare[order], out=rares[1:])
+    high = spread >> np.uint64(32)
     for s in spaces:
         differing = t.differing(bounds[s + 1] - 1)
-        slack = 0 if not differing else 1 + -(-differing * 15 // 100)
-        m = differing + 1 + slack
+        m, slack = _parts(-(-bounds[s] * t.num // t.den), differing)
         part = ((high * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
         edges = np.searchsorted(part, np.arange(m + 1))
         held = np.diff(edges)
-        sig = sums[edges[1:]] - sums[edges[:-1]]
-        strong = held >= (2 if differing else 1)
-        if m - int(strong.sum()) > slack:  # too many small parts to promise a large one in common
-            strong = np.ones(m, bool)
-        keys = mix(sig ^ mix(np.arange(m, dtype=np.uint64) + (np.uint64(s + 1) << np.uint64(32))))
+        strong = (held >= 2) & (rares[edges[1:]] > rares[edges[:-1]])
+        if m - int(strong.sum()) > slack:
+            strong = held >= 1
+            if m - int(strong.sum()) > slack:
+                strong = np.ones(m, bool)
+        keys = mix((sums[edges[1:]] - sums[edges[:-1]]) ^ mix(np.arange(m, dtype=np.uint64) + (np.uint64(s + 1) << np.uint64(32))))
         out.append(keys[strong])
     return np.concatenate(out)
 
 
-def _key_rows(k: int, fold_case: bool, t: Threshold):
-    """(key, doc): per chunk, the smallest document of each key."""
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Bits of the tokens, in a power of two of them, at least twice as many as tokens."""
+    bits = max(256, 1 << (2 * len(tokens)).bit_length())
+    words = np.zeros(bits // 64, np.uint64)
+    at = tokens % np.uint64(bits)
+    np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return words
+
+
+def may_link(a: np.ndarray, size_a: int, b: np.ndarray, size_b: int, t: Threshold) -> bool:
+    """Whether two sets of these bitmaps and sizes can reach the threshold: a set has a
+    token of its own for each bit the other lacks.  The longer bitmap is folded."""
+    while len(a) > len(b):
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    both = int(np.bitwise_count(a & b).sum())
+    most = min(size_a - (int(np.bitwise_count(a).sum()) - both), size_b - (int(np.bitwise_count(b).sum()) - both))
+    return t.linked(most, size_a, size_b)
+
+
+def _key_rows(k: int, fold_case: bool, t: Threshold, common):
+    """(key, doc, 0), but of a key with more than FEW documents in a chunk only the smallest;
+    its other documents are linked to that one at once, as (smallest, doc, 1)."""
     schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("other", pa.int64())])
 
     def rows(batches):
+        often = common.value
         for batch in batches:
             for part, data, bounds in chunks(batch):
                 ids = part.column(part.schema.get_field_index("doc_id")).to_numpy()
-                each = [part_keys(s, t) for s in shingle_sets(Words(data, bounds, fold_case), k)]
+                each = [part_keys(s, t, often) for s in shingle_sets(Words(data, bounds, fold_case), k)]
                 keys = np.concatenate(each)
                 docs = np.repeat(ids, [len(x) for x in each])
                 order = np.lexsort((docs, keys))
                 keys, docs = keys[order].view(np.int64), docs[order]
+                new = np.r_[True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])][: len(keys)]
+                keys, docs = keys[new], docs[new]
                 first = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
-                least = docs[first][np.cumsum(first) - 1] if len(keys) else docs
-                more = least != docs
+                run = np.cumsum(first) - 1
+                crowd = np.bincount(run)[run] > FEW if len(run) else first
+                least = docs[first][run] if len(run) else docs
+                put, more = first | ~crowd, crowd & ~first
                 near = np.unique(np.stack([least[more], docs[more]], 1), axis=0)
-                n, e = int(first.sum()), len(near)
+                n, e = int(put.sum()), len(near)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.r_[keys[first], near[:, 0]]), pa.array(np.r_[docs[first], near[:, 1]]),
+                    pa.array(np.r_[keys[put], near[:, 0]]), pa.array(np.r_[docs[put], near[:, 1]]),
                     pa.array(np.r_[np.zeros(n, np.int64), np.ones(e, np.int64)])], schema=schema)
 
     return rows, "key long, doc long, other long"
 
 
-def _first_of_each(batches):
-    """Links of the documents of a key to its smallest one, from rows sorted by (key, doc)."""
-    last_key = head = None
+def _meetings(batches):
+    """(a, b, sure) from rows sorted by (other, key, doc): all pairs of a key with FEW
+    documents, to be tried by their bitmaps; the links to the smallest one of a larger key."""
+    def put(pairs: list[np.ndarray], sure: bool):
+        found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(np.full(len(found), sure))], names=["a", "b", "sure"])
+
+    key, held, size = None, np.zeros(0, np.int64), 0  # of a run that may go on: its first documents
+    pairs_of = {n: np.array([(i, j) for j in range(n) for i in range(j)]).reshape(-1, 2) for n in range(2, FEW + 1)}
     for batch in batches:
-        if not len(batch):
-            continue
-        key, doc = (batch.column(i).to_numpy() for i in range(2))
-        first = np.r_[last_key is None or key[0] != last_key, key[1:] != key[:-1]]
-        heads = np.where(first, doc, 0)
-        at = np.cumsum(first) - 1
-        starts = doc[first]
-        heads = np.where(at >= 0, starts[np.maximum(at, 0)] if len(starts) else 0, head if head is not None else 0)
-        last_key, head = key[-1], heads[-1]
-        differ = heads != doc
-        near = np.unique(np.stack([heads[differ], doc[differ]], 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(near[:, 0]), pa.array(near[:, 1])], names=["a", "b"])
+        k, doc, other = (batch.column(i).to_numpy() for i in range(3))
+        done = other == 1
+        sure, maybe = [np.stack([k[done], doc[done]], 1)], []
+        k, doc = k[~done], doc[~done]
+        if len(k):
+            cuts = np.r_[0, np.flatnonzero(k[1:] != k[:-1]) + 1, len(k)]
+            long = np.diff(cuts)
+            for n in range(2, FEW + 1):  # whole runs of n documents
+                at = cuts[:-1][long == n]
+                at = at[(at > 0) & (at + n < len(k))]
+                p = pairs_of[n]
+                maybe.append(np.stack([doc[(at[:, None] + p[:, 0]).ravel()], doc[(at[:, None] + p[:, 1]).ravel()]], 1))
+            for at, n in zip(cuts[:-1], long, strict=True):
+                edge = at == 0 or at + n == len(k)
+                if not edge and n <= FEW:
+                    continue
+                own = doc[at : at + n]
+                if not edge:
+                    sure.append(np.stack([np.full(n - 1, own[0]), own[1:]], 1))
+                    continue
+                if key is not None and k[at] != key:
+                    if 1 < size <= FEW:
+                        maybe.append(held[pairs_of[size]])
+                    key = None
+                if key is None:
+                    key, held, size = k[at], own[:0], 0
+                if size + n > FEW:
+                    rest = np.r_[held[1:] if size <= FEW else held[:0], own]
+                    head = held[0] if len(held) else own[0]
+                    sure.append(np.stack([np.full(len(rest), head), rest], 1))
+                held, size = np.r_[held, own][:FEW], size + n
+        yield put(sure, True)
+        yield put(maybe, False)
+    if 1 < size <= FEW:
+        yield put([held[pairs_of[size]]], False)
+
+
+def _tried(t: Threshold):
+    """The pairs whose bitmaps do not rule out a link."""
+    def rows(batches):
+        for batch in batches:
+            a, b, na, nb, ba, bb = (batch.column(i).to_pylist() for i in range(6))
+            keep = [i for i in range(len(a)) if may_link(np.frombuffer(ba[i], np.uint64), na[i], np.frombuffer(bb[i], np.uint64), nb[i], t)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in keep], pa.int64()) for x in (a, b)], names=["a", "b"])
+    return rows
 
 
 class Tree:
@@ -278,18 +384,35 @@ def _across(k: int, fold_case: bool, t: Threshold):
     return rows
 
 
+def common_shingles(docs: DataFrame, k: int, fold_case: bool, sample: int = SAMPLE_DOCS, least: int = 3) -> np.ndarray:
+    """Shingles in `least` or more of at most `sample` documents, the first by digest.
+
+    They steer the routing and never the result.  At most COMMON of them, the most frequent.
+    """
+    def rows(batches):
+        for batch in batches:
+            for _, data, bounds in chunks(batch):
+                sets = list(shingle_sets(Words(data, bounds, fold_case), k))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["shingle"])
+
+    some = docs.select(F.xxhash64("doc_id", "_text").alias("_o"), "text").orderBy("_o").limit(sample).select("text")
+    found = some.mapInArrow(rows, "shingle long").groupBy("shingle").count().filter(F.col("count") >= least)
+    return np.sort(np.array([r[0] for r in found.orderBy(F.desc("count"), "shingle").limit(COMMON).collect()], np.int64).view(np.uint64))
+
+
 def _facts(k: int, fold_case: bool):
-    """Set size and two 64-bit digests of the set of every row."""
+    """Set size, two 64-bit digests and the bitmap of the set of every row."""
     def rows(batches):
         for batch in batches:
             for part, data, bounds in chunks(batch):
                 sets = list(shingle_sets(Words(data, bounds, fold_case), k))
+                bits = pa.array([bitmap(s).tobytes() for s in sets], pa.binary())
                 digests = [(len(s), int(s.sum(dtype=np.uint64).view(np.int64)), int(mix(s).sum(dtype=np.uint64).view(np.int64))) for s in sets]
                 cols = [part.column(part.schema.get_field_index(c)) for c in ("doc_id", "_text")]
                 yield pa.RecordBatch.from_arrays(
-                    [*cols, *(pa.array([d[i] for d in digests], pa.int64()) for i in range(3))],
-                    names=["doc_id", "_text", "n_shingles", "_s1", "_s2"])
-    return rows, "doc_id long, _text long, n_shingles long, _s1 long, _s2 long"
+                    [*cols, *(pa.array([d[i] for d in digests], pa.int64()) for i in range(3)), bits],
+                    names=["doc_id", "_text", "n_shingles", "_s1", "_s2", "bits"])
+    return rows, "doc_id long, _text long, n_shingles long, _s1 long, _s2 long, bits binary"
 
 
 def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 5, threshold: Threshold = Threshold(80, 100),
@@ -310,11 +433,16 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     # Equal sets: links to the smallest document.
     same = facts.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     heads = same.groupBy("n_shingles", "_s1", "_s2").agg(F.min("doc_id").alias("head"))
-    equal = materialise(same.join(heads, ["n_shingles", "_s1", "_s2"]).select("doc_id", "head", "n_shingles", "_text"), "equal")
+    equal = materialise(same.join(heads, ["n_shingles", "_s1", "_s2"]).select("doc_id", "head", "n_shingles", "_text", "bits"), "equal")
 
-    fn, schema = _key_rows(k, fold_case, threshold)
-    keyed = materialise_links(named.mapInArrow(fn, schema))
-    near = connected(keyed.unionAll(equal.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))))
+    common = spark.sparkContext.broadcast(common_shingles(named.withColumn("_text", F.xxhash64("text")), k, fold_case))
+    fn, schema = _key_rows(k, fold_case, threshold, common)
+    keyed = named.mapInArrow(fn, schema).repartition("key").sortWithinPartitions("key", "doc")
+    met = materialise(keyed.mapInArrow(_meetings, "a long, b long, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure")), "met")
+    of = lambda end: equal.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias(end), F.col("n_shingles").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+    tried = met.filter(~F.col("sure")).join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    near = met.filter("sure").select("a", "b").unionAll(tried.mapInArrow(_tried(threshold), "a long, b long"))
+    near = connected(near.unionAll(equal.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))))
 
     # One row per distinct set of a group with more than one.
     reps = equal.filter(F.col("doc_id") == F.col("head")).join(near.withColumnRenamed("node", "doc_id"), "doc_id")
@@ -352,25 +480,3 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     groups = connected(every).select(F.col("node").alias("doc_id"), "component")
     return facts.join(groups, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def materialise_links(rows: DataFrame) -> DataFrame:
-    """Links between documents that share a key; rows are (key, doc, 0), or a link found
-    within a chunk as (a, b, 1).  A key occurs once a chunk, so its run stays short."""
-    rows = rows.repartition("key", "other").sortWithinPartitions("other", "key", "doc")
-
-    def of(batches):
-        def split():
-            for batch in batches:
-                other = batch.column(2).to_numpy()
-                at = int(np.searchsorted(other, 1))
-                if at < len(batch):
-                    done.append(pa.RecordBatch.from_arrays([batch.column(0).slice(at), batch.column(1).slice(at)], names=["a", "b"]))
-                yield batch.slice(0, at)
-        done: list[pa.RecordBatch] = []
-        for out in _first_of_each(split()):
-            yield out
-            yield from done
-            done.clear()
-        yield from done
-    return materialise(rows.mapInArrow(of, "a long, b long"), "near")
