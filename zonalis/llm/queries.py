@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import credentials, neighbour_quality, pfair, sentence_toxicity, signature_tree, suffix_automata
+from zonalis.llm import credentials, neighbour_quality, pfair, sentence_toxicity, signature_tree, suffix_automata, threshold_search
 from zonalis.llm.sql import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,14 @@ def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return pfair.schedule(docs)
 
 
+@query
+def op6_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 best integer inner products of every vec_id divisible by 50 with all other rows."""
+    rows = threshold_search.quantised(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    found = threshold_search.top_products(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct 4-word shingles in lower case, linked from a Jaccard similarity of 0.85."""

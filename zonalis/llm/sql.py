@@ -3,6 +3,13 @@
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 SQL = {
+    "op6_top_k_search": """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+  from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0 and len(c.v) = len(q.v)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5""",
     "op3_substring_dedup": rf"""
 with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') as w from documents),
 g as (select doc_id, i, array_to_string(w[i:i+12], ' ') as g from d, lateral (select unnest(range(1, len(w) - 11)) as i)),
