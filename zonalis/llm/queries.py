@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import credentials, neighbour_quality, pfair, sentence_toxicity, signature_tree, suffix_automata, threshold_search
+from zonalis.llm import credentials, neighbour_quality, pfair, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
 from zonalis.llm.sql import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,12 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of equal label linked from a cosine of 0.93."""
+    return product_quantiser.embedding_components(table(spark, folder, "embeddings"), threshold=0.93)
+
+
 @query
 def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in blocks of 64, interleaved to equal shares of the sources."""

@@ -3,6 +3,16 @@
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 SQL = {
+    "op4_embedding_near_dedup": """
+with recursive v as (select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and list_dot_product(embedding::double[], embedding::double[]) > 0),
+l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.93),
+r as (select vec_id as node, vec_id as seen from embeddings union select r.node, l.b from r join l on l.a = r.seen),
+c as (select node, min(seen) as component_id from r group by node)
+select e.vec_id, (select count(*) from l where l.a = e.vec_id) as n_links, c.component_id, e.vec_id = c.component_id as kept
+from embeddings e join c on c.node = e.vec_id""",
     "op6_top_k_search": """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
   where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
