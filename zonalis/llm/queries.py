@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import credentials, neighbour_quality, pfair, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
+from zonalis.llm import credentials, neighbour_quality, pfair, piece_transducer, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
 from zonalis.llm.sql import SQL
 
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -81,6 +83,15 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), k=4, threshold=signature_tree.Threshold(85, 100), fold_case=True)
 
 
+@query
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of every whole text, and whether decoding them gives the text back."""
+    model = piece_transducer.read_model(PIECES)
+    coded = piece_transducer.encode(table(spark, folder, "documents").select("doc_id", "text"), model)
+    both = piece_transducer.decode(coded, model)
+    return both.select("doc_id", "tokens", F.size("tokens").cast("long").alias("n_tokens"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 @query
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Base secrets and the weak parts that complete them, in every whole text."""
