@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import credentials, neighbour_quality, pfair, piece_transducer, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
+from zonalis.llm import credentials, fuzzy_lines, neighbour_quality, pfair, piece_transducer, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
 from zonalis.llm.sql import SQL
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -83,6 +83,12 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), k=4, threshold=signature_tree.Threshold(85, 100), fold_case=True)
 
 
+@query
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines that repeat, closely or exactly, an earlier one."""
+    return fuzzy_lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of every whole text, and whether decoding them gives the text back."""
