@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE = 6_000  # labelled documents that are trained on, at most
 VOCABULARY, SHAPES = 1_000, 256
@@ -150,4 +151,4 @@ def score_quality(docs: DataFrame, model: QualityModel, *, doc_id: str = "doc_id
                     [part.column(part.schema.get_field_index(c)) for c in ("doc_id", *keep)] + [pa.array(np.clip(score, 0, 1)), pa.array(n, pa.int64())],
                     names=["doc_id", *keep, "score", "n_neighbours"])
 
-    return source.mapInArrow(rows, kept.schema.add("score", "double").add("n_neighbours", "long"))
+    return source.mapInArrow(rows, T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("n_neighbours", T.LongType())]))

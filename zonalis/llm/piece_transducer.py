@@ -25,6 +25,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 SPACE = "▁"
 REMEMBERED = 300_000
@@ -250,7 +251,7 @@ def encode(docs: DataFrame, model: Model, *, text: str = "text", tokens: str = "
                 column = pa.ListArray.from_arrays(pa.array(sizes, mask=np.r_[np.asarray(own.is_null()), False]), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, tokens])
 
-    return source.mapInArrow(rows, source.schema.add(tokens, "array<int>"))
+    return source.mapInArrow(rows, T.StructType([*source.schema.fields, T.StructField(tokens, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(encoded: DataFrame, model: Model, *, tokens: str = "tokens", text: str = "decoded") -> DataFrame:
@@ -268,4 +269,4 @@ def decode(encoded: DataFrame, model: Model, *, tokens: str = "tokens", text: st
                 out = pa.array([back(x) for x in lists.slice(at, 500).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, text])
 
-    return source.mapInArrow(rows, source.schema.add(text, "string"))
+    return source.mapInArrow(rows, T.StructType([*source.schema.fields, T.StructField(text, T.StringType())]))
