@@ -191,8 +191,9 @@ def _stretches(n: int, k: int):
                     continue
                 anchor = _anchor_hash(w, at, k)
                 ids, digests = (part.column(part.schema.get_field_index(c)).to_numpy() for c in names[1:3])
-                wanted = [part.column(part.schema.get_field_index(c)).to_pylist() for c in ("anchors", "hot_anchors")]
+                wanted = [[x or [] for x in part.column(part.schema.get_field_index(c)).to_pylist()] for c in ("anchors", "hot_anchors")]
                 out: list[list] = [[] for _ in names]
+                crowd: list[list] = [[] for _ in names]  # of hot anchors
                 text = w.text[start]
                 borders = np.searchsorted(text, np.arange(len(part) + 1))
                 windows = None
@@ -204,9 +205,9 @@ def _stretches(n: int, k: int):
                     hot = np.isin(anchor[lo:hi], np.array(wanted[1][t], dtype=np.int64))
                     zero = int(w.first_word[t])
 
-                    def put(shard, first, last, t=t, zero=zero):
+                    def put(shard, first, last, to=out, t=t, zero=zero):
                         a, b = w.start[first], w.end[last]
-                        for col, x in zip(out, (shard, ids[t], digests[t], first - zero, b" ".join(data[a:b].tobytes().split())), strict=True):
+                        for col, x in zip(to, (shard, ids[t], digests[t], first - zero, b" ".join(data[a:b].tobytes().split())), strict=True):
                             col.append(x)
 
                     places = at[lo:hi]
@@ -219,7 +220,8 @@ def _stretches(n: int, k: int):
                             windows = mix(w.grams(n)[0] ^ np.uint64(n)).view(np.int64)
                         for i in np.flatnonzero(hot).tolist():
                             s = int(start[lo + i])
-                            put(int(windows[s]), s, s + n - 1)
+                            put(int(windows[s]), s, s + n - 1, crowd)
+                _settle(crowd, out)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([
                         *(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.binary())], names=names)
@@ -227,6 +229,18 @@ def _stretches(n: int, k: int):
     return rows, "shard long, doc_id long, _text long, first long, words binary"
 
 
+def _settle(crowd: list[list], out: list[list]) -> None:
+    """Of equal windows only those of the smallest doc_id go to the shard; the others are
+    known by that one already, and go anywhere, without words."""
+    least: dict[bytes, int] = {}
+    for doc, text in zip(crowd[1], crowd[4], strict=True):
+        least[text] = min(doc, least.get(text, doc))
+    for shard, doc, digest, first, text in zip(*crowd, strict=True):
+        known = doc != least[text]
+        for col, x in zip(out, (digest ^ first if known else shard, doc, digest, first, None if known else text), strict=True):
+            col.append(x)
+
+
 def _matches(n: int):
     """From stretches sorted by (shard, doc_id): spans of words known from smaller ids."""
 
@@ -238,6 +252,10 @@ def _matches(n: int):
             out: list[list] = [[], [], [], []]
             cols = [batch.column(i).to_pylist() for i in range(5)]
             for s, d, digest, first, text in zip(*cols, strict=True):
+                if text is None:
+                    for col, x in zip(out, (d, digest, first, first + n), strict=True):
+                        col.append(x)
+                    continue
                 if s != shard:
                     shard, doc, auto, waiting = s, d, SuffixAutomaton(), []
                 elif d != doc:
@@ -316,7 +334,11 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     reference.  Rows that share a doc_id do not cover each other.  Other columns are not
     looked at.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    # Without needless aliases: they would keep Spark from seeing that both joins below shuffle the same rows.
+    plain = (doc_id, text) == ("doc_id", "text")
+    rows = docs.select("doc_id", "text") if plain else docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    if dict(rows.dtypes)["doc_id"] != "bigint":
+        rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     named = rows.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).withColumn("_text", F.xxhash64("text"))
     fn, schema = _anchor_rows(window, anchor)
     seen = named.mapInArrow(fn, schema).repartition("anchor").sortWithinPartitions("anchor", "_text")
@@ -329,12 +351,14 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
         F.collect_set(F.when(~F.col("hot"), F.col("anchor"))).alias("anchors"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot_anchors"))
     lists = lists.join(copies, ["doc_id", "_text"], "left_anti")
     fn, schema = _stretches(window, anchor)
-    met = named.join(lists, ["doc_id", "_text"]).select("doc_id", "_text", "text", "anchors", "hot_anchors").mapInArrow(fn, schema)
+    met = named.join(lists, ["doc_id", "_text"], "left").select("doc_id", "_text", "text", "anchors", "hot_anchors").mapInArrow(fn, schema)
     met = met.repartition("shard").sortWithinPartitions("shard", "doc_id")
     fn, schema = _matches(window)
     spans = met.mapInArrow(fn, schema).groupBy("doc_id", "_text").agg(F.collect_set(F.struct("lo", "hi")).alias("_spans"))
     all_of = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.lit(WHOLE).alias("hi")))
     spans = spans.unionAll(copies.distinct().withColumn("_spans", all_of))
-    whole = rows.withColumn("_text", F.xxhash64("text"))
-    cut = whole.join(spans, ["doc_id", "_text"], "left").select("doc_id", "text", "_spans")
+    # The same exchange of texts as above, so both are left joins; rows without a key or text have no spans.
+    cut = named.join(spans, ["doc_id", "_text"], "left").select("doc_id", "text", "_spans")
+    bare = rows.filter(F.col("doc_id").isNull() | F.col("text").isNull())
+    cut = cut.unionAll(bare.select("doc_id", "text", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>").alias("_spans")))
     return cut.mapInArrow(_cut(window), "doc_id long, kept string, n_words long, n_removed long, spans array<struct<lo:long,hi:long>>")
