@@ -16,8 +16,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonalis.llm.words import mix
+
 SAMPLE_PER_CLASS = 3_000  # labelled documents of either label that are trained on, at most
-TELLING = 3.0  # deviations by which a word's log odds in toxic documents must exceed zero
+BEGINNINGS = (4, 5, 6)  # lengths of word beginnings that are weighed like words
+TELLING = 3.0  # deviations by which a word's log odds of toxic documents must exceed zero
+LEAST_ODDS = 1.6  # and what they must come to: five to one
+MISLABELLED = 0.02  # share of documents without an offending sentence that are labelled toxic
 OFFENDING = 0.5  # a sentence with this probability is reported
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -52,20 +57,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return docs.select("doc_id", "text").join(F.broadcast(some.select("doc_id", "label")), "doc_id").select("text", "label")
 
 
+def tells(words: list[str]) -> set[str]:
+    """Lower-case words and, marked by a tilde, the beginnings of longer ones: insults are inflected."""
+    own = set(words)
+    return own.union(*({w[:n] + "~" for w in own if len(w) > n} for n in BEGINNINGS))
+
+
 def _features(batches):
-    """Each sentence's distinct lower-case words, one row a document."""
+    """What tells in each sentence, one row a document."""
     for batch in batches:
-        lists = [[sorted(set(_WORD.findall(t[a:b].lower()))) for a, b in sentences(t)] for t in (x or "" for x in batch.column("text").to_pylist())]
+        lists = [[sorted(tells(_WORD.findall(t[a:b].lower()))) for a, b in sentences(t)] for t in (x or "" for x in batch.column("text").to_pylist())]
         yield pa.RecordBatch.from_arrays(
             [pa.array(lists, pa.list_(pa.list_(pa.string()))), batch.column("label")], names=["sentences", "label"])
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = SAMPLE_PER_CLASS, rounds: int = 400,
-          rate: float = 0.8, shrink: float = 0.002, resting: float = -9.0) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = SAMPLE_PER_CLASS, rounds: int = 200,
+          rate: float = 0.8, shrink: float = 0.0003, resting: float = -9.0) -> ToxicityModel:
     """Fit on a sample of labelled documents whose size per_class bounds.
 
     Proximal gradient steps (Adagrad) on the noisy-or likelihood, classes weighted alike;
-    Only words that are significantly more often in toxic documents are weighed, and
+    Only words that are significantly more often in sentences of toxic documents are weighed, and
     `shrink` is the L1 price on them; `resting` bounds the log odds of
     a sentence without any, so that long clean texts stay clean.  Without documents of both
     labels the model says 0 for all texts.
@@ -82,24 +93,31 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class
     word = encoded.indices.to_numpy()
     sent = np.repeat(np.arange(len(per_sentence)), per_sentence.value_lengths().to_numpy())
     doc_of = np.repeat(np.arange(len(per_doc)), per_doc.value_lengths().to_numpy())
-    docs_with = np.unique(np.stack([word, doc_of[sent]], 1), axis=0)
-    toxic = labelled[docs_with[:, 1]] == 1
-    held = [np.bincount(docs_with[toxic == side, 0], minlength=len(words)) + 0.5 for side in (True, False)]
-    left = [(labelled == side).sum() + 1 - x for side, x in zip((1, 0), held, strict=True)]
+    # A sentence that recurs counts once, so that copies of a document are no evidence.
+    starts = np.flatnonzero(np.r_[True, sent[1:] != sent[:-1]])
+    same = np.add.reduceat(mix(word.astype(np.uint64)), starts)
+    toxic = labelled[doc_of[sent[starts]]] == 1
+    held, left = [], []
+    for side in (toxic, ~toxic):
+        first = np.zeros(len(per_sentence), bool)
+        first[sent[starts[np.flatnonzero(side)[np.unique(same[side], return_index=True)[1]]]]] = True
+        held.append(np.bincount(word[first[sent]], minlength=len(words)) + 0.5)
+        left.append(first.sum() + 1 - held[-1])
     odds = np.log(held[0] / left[0]) - np.log(held[1] / left[1])
-    keep = odds / np.sqrt(1 / held[0] + 1 / held[1]) >= TELLING
+    keep = (odds >= LEAST_ODDS) & (odds / np.sqrt(1 / held[0] + 1 / held[1]) >= TELLING)
     used = keep[word]
     word, sent = word[used], sent[used]
     price = np.where(labelled == 1, 0.5 / labelled.sum(), 0.5 / (len(labelled) - labelled.sum()))
-    w, bias = np.zeros(len(words)), resting
+    w, bias = np.where(keep, odds, 0.0), resting
     seen_w, seen_b = np.full(len(words), 1e-8), 1e-8
     for _ in range(rounds):
         z = np.bincount(sent, w[word], len(per_sentence)) + bias
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         safe = np.bincount(doc_of, np.logaddexp(0, z), len(per_doc))  # -log(1 - P)
         clear = np.exp(-safe)
-        # d loss / d z_s: p_s in a clean document, -p_s (1 - P) / P in a toxic one.
-        push = np.where(labelled == 1, -clear / np.maximum(1 - clear, 1e-9), 1.0) * price
+        # d loss / d z_s: p_s in a clean document, -p_s (1 - P) / P in a toxic one, where P
+        # counts as no less than MISLABELLED: those may be toxic by mistake.
+        push = np.where(labelled == 1, -clear / (MISLABELLED + (1 - MISLABELLED) * (1 - clear)), 1.0) * price
         g = p * push[doc_of]
         grad = np.bincount(word, g[sent], len(words))
         seen_w += grad * grad
@@ -120,11 +138,11 @@ def _scored(model: Broadcast, offending: float):
         text = text or ""
         spans = sentences(text)
         safe, found = 0.0, []
-        telling = words.intersection(_WORD.findall(text.lower()))
+        telling = words.intersection(tells(_WORD.findall(text.lower())))
         if not telling:
             return 1 - float(np.exp(-base * len(spans))), found
         for a, b in spans:
-            own = telling.intersection(_WORD.findall(text[a:b].lower()))
+            own = telling.intersection(tells(_WORD.findall(text[a:b].lower())))
             z = bias + sum(weights[x] for x in own)
             safe += float(np.logaddexp(0, z)) if own else base
             p = 1 / (1 + float(np.exp(-min(max(z, -30), 30))))
