@@ -24,11 +24,9 @@ def spark():
 
 @pytest.fixture
 def split(spark):
-    """Every ordered operator takes the distributed way; keys over five rows are hot."""
-    spark.conf.set("zonalis.singleTaskBytes", "0")
+    """Keys over five rows are hot."""
     spark.conf.set("zonalis.hotRows", "5")
     yield spark
-    spark.conf.unset("zonalis.singleTaskBytes")
     spark.conf.unset("zonalis.hotRows")
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonalis.session import fits_one_task, materialise
+from zonalis.session import materialise
 
 SLICE, POS = "_slice", "_pos"
 _OFFSET_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
@@ -72,25 +72,11 @@ def positions(
     *,
     weight: str | None = None,
     ties: Sequence[str] | None = None,
-    single_task_bytes: int | None = None,
 ) -> DataFrame:
     """Adds _rn (1-based position in group), _n (group size) and, when asked,
     _rank (minimum position among rows equal on `ties`), _cum and _total
     (running and whole sum of `weight`).  `ties` names the columns that lead `order`."""
     order = list(order)
-    if fits_one_task(df, single_task_bytes):
-        w = Window.partitionBy(*group)
-        wo = w.orderBy(*sort_columns(order))
-        out = df.withColumn("_rn", F.row_number().over(wo).cast("long"))
-        out = out.withColumn("_n", F.count(F.lit(1)).over(w))
-        if ties is not None:
-            out = out.withColumn("_rank", F.rank().over(w.orderBy(*sort_columns(order[: len(ties)]))).cast("long"))
-        if weight:
-            rows = wo.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            out = out.withColumn("_cum", F.sum(weight).over(rows))
-            out = out.withColumn("_total", F.sum(weight).over(w))
-        return out
-
     slices = sorted_slices(df, group, order)
     zero = F.lit(0)
     edges = edge_totals(
@@ -156,17 +142,12 @@ def exact_quantiles(
     group: Sequence[str] = (),
     *,
     exclusive: bool = False,
-    single_task_bytes: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per group, linear between neighbours (position p(n-1)), or
-    the exclusive form at p(n+1); _n counts the values.  Beyond one task's size it
-    reads positions off sorted value runs, never a per-group buffer."""
+    the exclusive form at p(n+1); _n counts the values.  Positions are read off sorted
+    value runs, never off a per-group buffer."""
     base = df.select(*group, value).filter(F.col(value).isNotNull())
-    if not exclusive and fits_one_task(base, single_task_bytes):
-        q = base.groupBy(*group).agg(
-            F.percentile(value, F.array(*[F.lit(p) for p in probs.values()])).alias("_q"), F.count(F.lit(1)).alias("_n"))
-        return q.select(*group, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(probs)], "_n")
-    runs = value_runs(base, value, group, single_task_bytes=single_task_bytes)
+    runs = value_runs(base, value, group)
     n, out = F.col("_total"), []
     for name, p in probs.items():
         at = F.lit(p) * (n + 1) if exclusive else F.lit(p) * (n - 1) + 1
@@ -186,17 +167,9 @@ def carried_value(
     *,
     backward: bool = False,
     out: str | None = None,
-    single_task_bytes: int | None = None,
 ) -> DataFrame:
     """Last non-null value at or before each row (next, when backward)."""
     out = out or value
-    if fits_one_task(df, single_task_bytes):
-        w = Window.partitionBy(*group).orderBy(*order)
-        if backward:
-            c = F.first(value, True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-        else:
-            c = F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumn(out, c)
     slices = sorted_slices(df, group, order)
     known = F.when(F.col(value).isNotNull(), F.col(POS))
     pick = F.min_by(value, known) if backward else F.max_by(value, known)
@@ -220,8 +193,6 @@ def neighbours(
     value: str,
     order: Sequence[str],
     group: Sequence[str] = (),
-    *,
-    single_task_bytes: int | None = None,
 ) -> DataFrame:
     """Adds _rn (position in group) and the nearest known values at or before and at
     or after each row, as structs _prev and _next of position p and value v."""
@@ -232,12 +203,6 @@ def neighbours(
         past = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return F.last("_known", True).over(past), F.first("_known", True).over(w.rowsBetween(0, Window.unboundedFollowing))
 
-    if fits_one_task(df, single_task_bytes):
-        w = Window.partitionBy(*group).orderBy(*order)
-        out = df.withColumn("_rn", F.row_number().over(w).cast("long")).withColumn("_known", known(F.col("_rn")))
-        prev, following = both(w)
-        return out.withColumns({"_prev": prev, "_next": following}).drop("_known")
-
     slices = sorted_slices(df, group, order)
     at = F.when(F.col(value).isNotNull(), F.col(POS))
     edges = edge_totals(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from zonalis.operators.common import attach_row
 from zonalis.operators.ordering import exact_quantiles, positions, value_runs
-from zonalis.session import fits_one_task, materialise
+from zonalis.session import materialise
 
 
 def _known(df: DataFrame, column: str) -> DataFrame:
@@ -286,22 +286,22 @@ def cluster_scan(df: DataFrame, columns: Sequence[str], k_range: tuple[int, int]
 def stratified_sample(df: DataFrame, stratum: str, key: str, size: int, seed: int = 42, **kw) -> DataFrame:
     """Per stratum its share of `size`, at least one row, in order of a seeded digest of the key.
 
-    Beyond one task's size only rows whose digest lies under a cut somewhat above
-    the stratum's quota are kept and ordered, not the whole table; if chance left a
-    stratum short of its quota, everything is.
+    Only rows whose digest lies under a cut somewhat above the stratum's quota are kept
+    and ordered, not the whole table; strata that chance left short are ordered whole.
     """
     d = df.withColumn("_h", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))))
     counts = df.groupBy(F.col(stratum).alias("_stratum")).agg(F.count(F.lit(1)).alias("_rows"))
     quotas = attach_row(counts, df.agg(F.count(F.lit(1)).alias("_all"))).select(
         "_stratum", "_rows", F.greatest(F.lit(1), F.floor(F.least(F.lit(size), F.col("_all")) * F.col("_rows") / F.col("_all"))).alias("_quota"))
     rows = d.join(quotas, d[stratum].eqNullSafe(quotas["_stratum"])).drop("_stratum")
-    if not fits_one_task(df):
-        wanted = F.col("_quota") + 6 * F.sqrt("_quota") + 20
-        # The first 13 hex digits of the digest as a number in [0, 1).
-        place = F.conv(F.substring("_h", 1, 13), 16, 10).cast("double") / float(16 ** 13)
-        kept = materialise(rows.filter(place <= wanted / F.col("_rows")), "sample")
-        short = kept.groupBy(stratum).agg(F.count(F.lit(1)).alias("k"), F.max("_quota").alias("q")).filter("k < q")
-        rows = kept if short.isEmpty() else rows
+    wanted = F.col("_quota") + 6 * F.sqrt("_quota") + 20
+    # The first 13 hex digits of the digest as a number in [0, 1).
+    place = F.conv(F.substring("_h", 1, 13), 16, 10).cast("double") / float(16 ** 13)
+    kept = materialise(rows.filter(place <= wanted / F.col("_rows")), "sample")
+    enough = kept.groupBy(F.col(stratum).alias("_stratum")).agg(F.count(F.lit(1)).alias("_k"), F.max("_quota").alias("_q")).filter("_k >= _q").select("_stratum")
+    enough = materialise(enough, "strata")  # few rows, and both joins below must agree on them
+    filled = kept.join(enough, kept[stratum].eqNullSafe(enough["_stratum"]), "left_semi")
+    rows = filled.unionByName(rows.join(enough, rows[stratum].eqNullSafe(enough["_stratum"]), "left_anti"))
     p = positions(rows, ["_h", key], [stratum], **kw)
     return p.filter(F.col("_rn") <= F.col("_quota")).select(*df.columns)
 

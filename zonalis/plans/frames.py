@@ -19,7 +19,7 @@ AREAS = """areas AS (
   SELECT c_custkey AS area_id, c_name AS sa2_name, c_mktsegment AS segment, c_acctbal AS balance,
          CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS score,
          (n_regionkey + 1)::VARCHAR || printf('%02d', c_nationkey) || printf('%02d', c_custkey % 10)
-           || printf('%04d', c_custkey // 10) AS sa2_code,
+           || printf('%04d', c_custkey // 10 % 10000) AS sa2_code,
          (n_regionkey + 1)::VARCHAR || printf('%02d', c_nationkey) || printf('%02d', c_custkey % 10) AS sa3_code,
          (n_regionkey + 1)::VARCHAR || printf('%02d', c_nationkey) AS sa4_code,
          (n_regionkey + 1)::VARCHAR AS state_code, r_name AS state, n_name AS nation,
@@ -31,7 +31,7 @@ AREAS = """areas AS (
 def areas(t: Tables) -> DataFrame:
     sa4 = F.concat((F.col("n_regionkey") + 1).cast("string"), F.format_string("%02d", "c_nationkey"))
     sa3 = F.concat(sa4, F.format_string("%02d", F.col("c_custkey") % 10))
-    tail = F.format_string("%04d", F.floor(F.col("c_custkey") / 10))
+    tail = F.format_string("%04d", F.floor(F.col("c_custkey") / 10) % 10000)
     return (
         t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))

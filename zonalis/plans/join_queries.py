@@ -173,17 +173,17 @@ def _(t):
 # Customers carry an area code, a postcode of four areas or an unknown kind; every
 # SA3 and SA4 occurs once as a record of its own.
 _CODES = """k AS (SELECT 'c' || area_id AS rec, CASE segment WHEN 'AUTOMOBILE' THEN 'SA2_code' WHEN 'HOUSEHOLD' THEN 'zip' ELSE 'meshblock' END AS kind,
-  CASE segment WHEN 'AUTOMOBILE' THEN sa2_code WHEN 'HOUSEHOLD' THEN printf('%04d', area_id // 3) ELSE 'x' END AS code, balance AS people FROM areas
+  CASE segment WHEN 'AUTOMOBILE' THEN sa2_code WHEN 'HOUSEHOLD' THEN printf('%04d', area_id // 3 % 10000) ELSE 'x' END AS code, balance AS people FROM areas
   UNION ALL SELECT DISTINCT 's' || sa3_code, ' sa3 ', sa3_code, 100.0 FROM areas UNION ALL SELECT DISTINCT 's' || sa4_code, 'statistical_area_4', sa4_code, 1000.0 FROM areas)"""
 _CONC = """base AS (SELECT DISTINCT sa2_code AS target FROM areas), conc AS (SELECT 'sa2' AS code_type, target AS code, target, 1.0::DOUBLE AS factor FROM base
   UNION ALL SELECT 'sa3', substr(target, 1, 5), target, 1.0 / count(*) OVER (PARTITION BY substr(target, 1, 5)) FROM base
   UNION ALL SELECT 'sa4', substr(target, 1, 3), target, 1.0 / count(*) OVER (PARTITION BY substr(target, 1, 3)) FROM base
-  UNION ALL SELECT 'postcode', printf('%04d', area_id // 4), sa2_code, 0.25 FROM areas)"""
+  UNION ALL SELECT 'postcode', printf('%04d', area_id // 4 % 10000), sa2_code, 0.25 FROM areas)"""
 
 
 def _concordance(t):
     a = areas(t)
-    post = a.select(F.lit("postcode").alias("code_type"), F.format_string("%04d", F.floor(F.col("area_id") / 4)).alias("code"),
+    post = a.select(F.lit("postcode").alias("code_type"), F.format_string("%04d", F.floor(F.col("area_id") / 4) % 10000).alias("code"),
                     F.col("sa2_code").alias("target"), F.lit(0.25).alias("factor"))
     return J.area_concordance(a, "sa2_code").unionByName(post)
 
@@ -192,7 +192,7 @@ def _coded(t):
     a, seg = areas(t), F.col("segment")
     kind = F.when(seg == "AUTOMOBILE", "SA2_code").when(seg == "HOUSEHOLD", "zip").otherwise("meshblock")
     code = (F.when(seg == "AUTOMOBILE", F.col("sa2_code"))
-            .when(seg == "HOUSEHOLD", F.format_string("%04d", F.floor(F.col("area_id") / 3))).otherwise("x"))
+            .when(seg == "HOUSEHOLD", F.format_string("%04d", F.floor(F.col("area_id") / 3) % 10000)).otherwise("x"))
     people = a.select(F.concat(F.lit("c"), F.col("area_id").cast("string")).alias("rec"), kind.alias("kind"), code.alias("code"),
                       F.col("balance").alias("people"))
     for level, name, n in (("sa3_code", " sa3 ", 100.0), ("sa4_code", "statistical_area_4", 1000.0)):

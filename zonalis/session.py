@@ -9,9 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Inputs whose scans stay below this fit one task comfortably.
-SINGLE_TASK_BYTES = 16 * 1024 * 1024
-
 
 def build_session(app: str = "zonalis", master: str | None = None, **conf) -> SparkSession:
     b = (
@@ -68,23 +65,3 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     stored.write.parquet(path)
     back = df.sparkSession.read.schema(stored.schema).parquet(path)
     return back.withColumns({c: F.lit(None) for c in void}).select(*df.columns) if void else back
-
-
-def scanned_bytes(df: DataFrame) -> int:
-    """Bytes the plan's leaves read, by the optimiser's statistics; unknown is unbounded.
-
-    Leaves are used because the optimiser multiplies the sides of a join.
-    """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:
-        return 1 << 62
-
-
-def fits_one_task(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether one task may sort the whole of df.  zonalis.singleTaskBytes overrides
-    the limit; 0 always takes the distributed way."""
-    if limit is None:
-        limit = int(df.sparkSession.conf.get("zonalis.singleTaskBytes", str(SINGLE_TASK_BYTES)))
-    return limit > 0 and scanned_bytes(df) <= limit

@@ -9,15 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonalis.functions import geo
-from zonalis.session import scanned_bytes
 
-MB = 1024 * 1024
-
-
-def codec_for(df: DataFrame) -> str:
-    """snappy for large frames, gzip for middling ones, zstd for small ones."""
-    size = scanned_bytes(df)
-    return "snappy" if size > 100 * MB else "gzip" if size > 10 * MB else "zstd"
+CODEC = "zstd"
 
 
 def narrow_integers(df: DataFrame) -> DataFrame:
@@ -36,9 +29,9 @@ def narrow_integers(df: DataFrame) -> DataFrame:
     return df.withColumns(casts)
 
 
-def write_parquet(df: DataFrame, path: str, *, codec: str | None = None, narrow: bool = False, mode: str = "error") -> None:
+def write_parquet(df: DataFrame, path: str, *, codec: str = CODEC, narrow: bool = False, mode: str = "error") -> None:
     out = narrow_integers(df) if narrow else df
-    out.write.mode(mode).option("compression", codec or codec_for(df)).parquet(path)
+    out.write.mode(mode).option("compression", codec).parquet(path)
 
 
 def csv_columns(df: DataFrame) -> list[Column]:
@@ -56,9 +49,7 @@ def csv_columns(df: DataFrame) -> list[Column]:
     return out
 
 
-def write_csv(df: DataFrame, path: str, *, gzip_above: int = 100_000, compress: bool | None = None, mode: str = "error") -> None:
-    if compress is None:
-        compress = df.limit(gzip_above + 1).count() > gzip_above
+def write_csv(df: DataFrame, path: str, *, compress: bool = False, mode: str = "error") -> None:
     w = df.select(*csv_columns(df)).write.mode(mode).option("header", True).option("escape", '"')
     (w.option("compression", "gzip") if compress else w).csv(path)
 
