@@ -11,16 +11,17 @@ A sequence of pieces is what the merges give exactly if that holds for each neig
 pair, so one path per prefix is left.  In a unigram model all arcs are free.
 
 When no piece holds U+2581 behind another character, paths never cross the start of a run
-of them; such stretches are solved once and remembered, a bounded number at a time.
+of them; such stretches are solved once and remembered, a bounded number at a time; a worker
+keeps what it remembers for its next task.
 """
 
 from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -121,7 +122,7 @@ class Transducer(dict):
             node[""] = (p, -self.score[p])
         # Neighbouring characters within some piece; between others no path can pass.
         self.inside = {p[i : i + 2] for p in self.number for i in range(len(p) - 1)}
-        self.known: dict[str, list[int]] = {}
+        self.older: dict[str, bytes] = {}
 
     def normalised(self, text: str) -> str:
         if self.squeeze:
@@ -193,40 +194,62 @@ class Transducer(dict):
                 out.append(self.unknown)
         return out
 
-    def __missing__(self, stretch: str) -> list[int]:
+    def __missing__(self, stretch: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-            self.known.clear()
-        inside, at, out = self.inside, 0, []
-        for i in range(1, len(stretch) + 1):
-            if i == len(stretch) or stretch[i - 1 : i + 1] not in inside:
-                part = stretch[at:i]
-                own = self.known.get(part)
-                if own is None:
-                    own = self.known[part] = self.numbers(self.path(part))
-                out += own
-                at = i
+        out = self.older.get(stretch)
+        if out is None:
+            inside, at, numbers = self.inside, 0, []
+            for i in range(1, len(stretch) + 1):
+                if i == len(stretch) or stretch[i - 1 : i + 1] not in inside:
+                    numbers += self.numbers(self.path(stretch[at:i]))
+                    at = i
+            out = array("i", numbers).tobytes()
         self[stretch] = out
         return out
 
-    def encode(self, text: str | None) -> list[int]:
+    def coded(self, text: str | None) -> bytes:
+        """The piece numbers of a text as 32-bit integers."""
         text = self.normalised(text or "")
         if not self.stretches:
-            return self.numbers(self.path(text))
-        return list(chain.from_iterable(map(self.__getitem__, _STRETCH.findall(text))))
+            return array("i", self.numbers(self.path(text))).tobytes()
+        return b"".join(map(self.__getitem__, _STRETCH.findall(text)))
 
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.coded(text), np.int32).tolist()
 
-def decoder(pieces: list[str], scores: list[float], kinds: list[int], bpe: bool, prefix: bool, squeeze: bool):
-    surface = [bytes([int(p[3:5], 16)]) if k == _BYTE else b"" if k == _CONTROL else " ⁇ ".encode() if k == _UNKNOWN else p.replace(SPACE, " ").encode()
-               for p, k in zip(pieces, kinds, strict=True)]
 
-    def decode(numbers: list[int] | None) -> str | None:
-        if numbers is None:
-            return None
-        text = b"".join([surface[i] for i in numbers]).decode(errors="replace")
-        return text[1:] if (prefix or squeeze) and text.startswith(" ") else text
+class Surface:
+    """Text of piece numbers."""
 
-    return decode
+    def __init__(self, pieces: list[str], scores: list[float], kinds: list[int], bpe: bool, prefix: bool, squeeze: bool):
+        own = [bytes([int(p[3:5], 16)]) if k == _BYTE else b"" if k == _CONTROL else " ⁇ ".encode() if k == _UNKNOWN else p.replace(SPACE, " ").encode()
+               for p, k in zip(pieces, kinds, strict=True)]
+        self.length = np.array([len(x) for x in own], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(own), np.uint8)
+        self.strip = prefix or squeeze
+
+    def texts(self, lists: pa.ListArray) -> pa.Array:
+        """One text a row, null for null; bytes that are no UTF-8 are replaced."""
+        numbers = lists.flatten().to_numpy(zero_copy_only=False)
+        sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        length = self.length[numbers]
+        after = np.r_[0, np.cumsum(length)]
+        at = np.arange(after[-1]) + np.repeat(self.start[numbers] - after[:-1], length)
+        data = self.data[at]
+        bounds = after[np.r_[0, np.cumsum(sizes)]]
+        if self.strip:
+            led = bounds[:-1][bounds[:-1] < bounds[1:]]
+            led = led[data[led] == 32]
+            keep = np.ones(len(data), bool)
+            keep[led] = False
+            data = data[keep]
+            bounds = bounds - np.searchsorted(led, bounds)
+        raw = data.tobytes()
+        null = np.asarray(lists.is_null())
+        return pa.array([None if no else raw[a:b].decode(errors="replace") for a, b, no in zip(bounds[:-1].tolist(), bounds[1:].tolist(), null, strict=True)], pa.string())
 
 
 def encode(docs: DataFrame, model: Model, *, text: str = "text", tokens: str = "tokens") -> DataFrame:
@@ -234,20 +257,24 @@ def encode(docs: DataFrame, model: Model, *, text: str = "text", tokens: str = "
 
     A null text has null tokens, an empty one none.  A column of that name is replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model.plain())  # the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast((model.plain(), {}))  # the vocabulary
     source = docs.drop(tokens)
 
     def rows(batches):
-        machine = Transducer(*shared.value)
+        # Kept with the broadcast value, so that a worker's next task finds it.
+        plain, kept = shared.value
+        if "machine" not in kept:
+            kept["machine"] = Transducer(*plain)
+        machine = kept["machine"]
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)
                 own = texts.slice(at, 500)
-                lists = [machine.encode(t) for t in own.to_pylist()]
+                lists = [machine.coded(t) for t in own.to_pylist()]
                 sizes = np.zeros(len(lists) + 1, np.int32)
-                np.cumsum([len(x) for x in lists], out=sizes[1:])
-                flat = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes[-1]))
+                np.cumsum([len(x) // 4 for x in lists], out=sizes[1:])
+                flat = np.frombuffer(b"".join(lists), np.int32)
                 column = pa.ListArray.from_arrays(pa.array(sizes, mask=np.r_[np.asarray(own.is_null()), False]), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, tokens])
 
@@ -261,12 +288,11 @@ def decode(encoded: DataFrame, model: Model, *, tokens: str = "tokens", text: st
     source = encoded.drop(text)
 
     def rows(batches):
-        back = decoder(*shared.value)
+        surface = Surface(*shared.value)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(tokens))
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)
-                out = pa.array([back(x) for x in lists.slice(at, 500).to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, text])
+                yield pa.RecordBatch.from_arrays([*part.columns, surface.texts(lists.slice(at, 500))], names=[*part.schema.names, text])
 
     return source.mapInArrow(rows, T.StructType([*source.schema.fields, T.StructField(text, T.StringType())]))
