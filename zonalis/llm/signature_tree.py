@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from zonalis.llm.arrow import runs
 from zonalis.llm.components import connected
+from zonalis.llm.fetch import texts_of
 from zonalis.llm.words import Words, chunks, mix
 from zonalis.session import materialise
 
@@ -85,7 +86,7 @@ _PARTS: dict[tuple[int, int], tuple[int, int]] = {}
 
 def _parts(low: int, differing: int) -> tuple[int, int]:
     """Number of parts for sets of `low` tokens or more, and how many of them may be small
-    without ending the promise of a large one in common: three deviations above the mean."""
+    without ending the promise of a large one in common: two deviations above the mean."""
     if (low, differing) in _PARTS:
         return _PARTS[low, differing]
     slack = 1
@@ -93,7 +94,7 @@ def _parts(low: int, differing: int) -> tuple[int, int]:
         m = differing + 1 + slack
         share = low / m
         small = m * math.exp(-share) * (1 + share)
-        if small + 3 * math.sqrt(small) <= slack or slack > differing:
+        if small + 2 * math.sqrt(small) <= slack or slack > differing:
             _PARTS[low, differing] = m, slack
             return m, slack
         slack += 1
@@ -146,8 +147,8 @@ def part_keys(tokens: np.ndarray, t: Threshold, common: np.ndarray) -> np.ndarra
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """Bits of the tokens, in a power of two of them, at least twice as many as tokens."""
-    bits = max(256, 1 << (2 * len(tokens)).bit_length())
+    """Bits of the tokens, in a power of two of them, more than there are tokens."""
+    bits = max(128, 1 << len(tokens).bit_length())
     words = np.zeros(bits // 64, np.uint64)
     at = tokens % np.uint64(bits)
     np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
@@ -433,13 +434,16 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     # Equal sets: links to the smallest document.
     same = facts.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     heads = same.groupBy("n_shingles", "_s1", "_s2").agg(F.min("doc_id").alias("head"))
-    equal = materialise(same.join(heads, ["n_shingles", "_s1", "_s2"]).select("doc_id", "head", "n_shingles", "_text", "bits"), "equal")
+    equal = materialise(same.join(heads, ["n_shingles", "_s1", "_s2"]).select("doc_id", "head", "n_shingles", "_text"), "equal")
 
     common = spark.sparkContext.broadcast(common_shingles(named.withColumn("_text", F.xxhash64("text")), k, fold_case))
     fn, schema = _key_rows(k, fold_case, threshold, common)
     keyed = named.mapInArrow(fn, schema).repartition("key").sortWithinPartitions("key", "doc")
     met = materialise(keyed.mapInArrow(_meetings, "a long, b long, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure")), "met")
-    of = lambda end: equal.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias(end), F.col("n_shingles").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+    first = equal.filter(F.col("doc_id") == F.col("head")).groupBy("doc_id").agg(F.min("_text").alias("_text"))
+    bits = facts.join(first, ["doc_id", "_text"])
+    bits = materialise(bits.select("doc_id", "n_shingles", "bits"), "bits")
+    of = lambda end: bits.select(F.col("doc_id").alias(end), F.col("n_shingles").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
     tried = met.filter(~F.col("sure")).join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
     near = met.filter("sure").select("a", "b").unionAll(tried.mapInArrow(_tried(threshold), "a long, b long"))
     near = connected(near.unionAll(equal.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))))
@@ -452,9 +456,9 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
             "doc_id", "_text", "component",
             F.ceil(F.col("_shingles") / block_shingles).cast("int").alias("blocks"),
             F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("_shingles") / block_shingles)).cast("int").alias("part")), "sets")
-    texts = materialise(
-        named.withColumn("_text", F.xxhash64("text")).join(reps, ["doc_id", "_text"]).dropDuplicates(["doc_id", "_text"])
-        .withColumn("block", F.xxhash64("component", "part")).drop("_text"), "texts")
+    own = named.withColumn("_text", F.xxhash64("text"))
+    texts = texts_of(own, reps, ["doc_id", "_text"], lambda df: df.drop("_text").withColumn("block", F.xxhash64("component", "part")))
+    # Rows alike in doc_id and text are equal sets of one block.
     blocks = texts.select("block", "doc_id", "text").repartition("block").sortWithinPartitions("block")
     links = materialise(blocks.mapInArrow(_within(k, fold_case, threshold), "a long, b long"), "links")
 
