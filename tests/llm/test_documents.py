@@ -108,6 +108,42 @@ def test_jaccard_components(docs, texts, k, num, block):
     assert [r["component_id"] for r in got if r["doc_id"] is None] == [None]
 
 
+def test_crowds_of_chunks_meet(spark):
+    """All keys of two near copies are shared by crowds of unlike documents in their chunks."""
+    import numpy as np
+
+    from zonalis.llm.words import Words
+
+    names = [f"w{i}" for i in range(60)]
+    first = [next(signature_tree.shingle_sets(Words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)])), 1))[0] for w in names]
+    names = [w for _, w in sorted(zip(first, names, strict=True))]
+    low, rest = names[:3], names[3:]  # the three of the least hash are the keys of every document
+    crowd = lambda step: [low + [rest[(2 * s + step * i) % 57] for i in range(7)] for s in range(28)]
+    x = low + rest[:56:8]
+    near = [x[:-1] + [rest[33 + i]] for i in range(3)]
+    chunks = [[*crowd(1), x], [near[0]], [*crowd(5), near[1]], [near[2]]]
+    texts = [(100 * c + i, " ".join(t)) for c, part in enumerate(chunks) for i, t in enumerate(part)]
+    each = spark.sparkContext.parallelize(range(4), 4).flatMap(lambda c: [t for t in texts if t[0] // 100 == c])
+    docs = spark.createDataFrame(each, "doc_id long, text string")
+    got = signature_tree.jaccard_components(docs, k=1, threshold=signature_tree.Threshold(80, 100)).collect()
+    label = components(texts, 1, 80, 100)
+    assert label[28] == label[100] == label[228] == label[300] == 28
+    assert {r["doc_id"]: r["component_id"] for r in got} == label
+
+
+def test_meetings_of_crowds_over_batches():
+    """A crowd's representative joins its key to it, wherever batches are cut."""
+    import pyarrow as pa
+
+    rows = [(7, 1, 0), (7, 2, 0), (8, 1, 0), (8, 2, 2), (8, 3, 0), (9, 1, 2), (9, 4, 0), (10, 5, 0), (10, 6, 0)]
+    for cut in range(1, len(rows)):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], names=["key", "doc", "other"])
+                   for part in (rows[:cut], rows[cut:])]
+        out = [tuple(r.values()) for b in signature_tree._meetings(iter(batches)) for r in b.to_pylist()]
+        assert {(a, b) for a, b, sure in out if sure and a != b} == {(1, 2), (1, 3), (1, 4)}
+        assert {(a, b) for a, b, sure in out if not sure} == {(1, 2), (5, 6)}
+
+
 def test_part_keys_meet():
     import numpy as np
     rng, t = np.random.default_rng(3), signature_tree.Threshold(85, 100)

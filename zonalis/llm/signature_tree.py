@@ -168,8 +168,8 @@ def may_link(a: np.ndarray, size_a: int, b: np.ndarray, size_b: int, t: Threshol
 
 
 def _key_rows(k: int, fold_case: bool, t: Threshold, common):
-    """(key, doc, 0), but of a key with more than FEW documents in a chunk only the smallest;
-    its other documents are linked to that one at once, as (smallest, doc, 1)."""
+    """(key, doc, 0), but of a key with more than FEW documents in a chunk only the smallest,
+    as (key, doc, 2); its other documents are linked to that one at once, as (smallest, doc, 1)."""
     schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("other", pa.int64())])
 
     def rows(batches):
@@ -193,14 +193,15 @@ def _key_rows(k: int, fold_case: bool, t: Threshold, common):
                 n, e = int(put.sum()), len(near)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.r_[keys[put], near[:, 0]]), pa.array(np.r_[docs[put], near[:, 1]]),
-                    pa.array(np.r_[np.zeros(n, np.int64), np.ones(e, np.int64)])], schema=schema)
+                    pa.array(np.r_[np.where(crowd[put], 2, 0), np.ones(e, np.int64)])], schema=schema)
 
     return rows, "key long, doc long, other long"
 
 
 def _meetings(batches):
-    """(a, b, sure) from rows sorted by (other, key, doc): all pairs of a key with FEW
-    documents, to be tried by their bitmaps; the links to the smallest one of a larger key."""
+    """(a, b, sure) from rows sorted by (key, doc): all pairs of a key with FEW documents,
+    to be tried by their bitmaps; the links to the smallest one of a larger key.  A document
+    that stands for a crowd (other = 2) makes its key a larger one, however few its rows are."""
     def put(pairs: list[np.ndarray], sure: bool):
         found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(np.full(len(found), sure))], names=["a", "b", "sure"])
@@ -211,18 +212,19 @@ def _meetings(batches):
         k, doc, other = (batch.column(i).to_numpy() for i in range(3))
         done = other == 1
         sure, maybe = [np.stack([k[done], doc[done]], 1)], []
-        k, doc = k[~done], doc[~done]
+        k, doc, crowd = k[~done], doc[~done], other[~done] == 2
         if len(k):
             cuts = np.r_[0, np.flatnonzero(k[1:] != k[:-1]) + 1, len(k)]
             long = np.diff(cuts)
+            held_by = long + FEW * np.logical_or.reduceat(crowd, cuts[:-1])  # documents, at least
             for n in range(2, FEW + 1):  # whole runs of n documents
-                at = cuts[:-1][long == n]
+                at = cuts[:-1][held_by == n]
                 at = at[(at > 0) & (at + n < len(k))]
                 p = pairs_of[n]
                 maybe.append(np.stack([doc[(at[:, None] + p[:, 0]).ravel()], doc[(at[:, None] + p[:, 1]).ravel()]], 1))
-            for at, n in zip(cuts[:-1], long, strict=True):
+            for at, n, docs in zip(cuts[:-1], long, held_by, strict=True):
                 edge = at == 0 or at + n == len(k)
-                if not edge and n <= FEW:
+                if not edge and docs <= FEW:
                     continue
                 own = doc[at : at + n]
                 if not edge:
@@ -234,11 +236,11 @@ def _meetings(batches):
                     key = None
                 if key is None:
                     key, held, size = k[at], own[:0], 0
-                if size + n > FEW:
+                if size + docs > FEW:
                     rest = np.r_[held[1:] if size <= FEW else held[:0], own]
                     head = held[0] if len(held) else own[0]
                     sure.append(np.stack([np.full(len(rest), head), rest], 1))
-                held, size = np.r_[held, own][:FEW], size + n
+                held, size = np.r_[held, own][:FEW], size + docs
         yield put(sure, True)
         yield put(maybe, False)
     if 1 < size <= FEW:
