@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from zonalis.functions import codes, geo, ratios
 from zonalis.operators import census, geometry, impute, indicators, integrate, joins, quality, spatial, stats, temporal
+from zonalis.plans.catalogue import all_queries
+from zonalis.plans.registry import runner
 from zonalis.session import scratch_path
 from zonalis.sinks import writers
 from zonalis.sources import delimited, documents, records, tables
@@ -205,6 +207,23 @@ def test_small_clusters_are_flagged(spark):
     assert set(bad) >= {300, 301, 302} and len(bad) < 20
 
 
+def test_clusters_follow_all_values_of_a_vector(spark):
+    """Groups that only the values after the fourth tell apart; rows without a whole vector go."""
+    group = lambda i: 2 if i >= 290 else i % 2
+    value = lambda i, j: math.sin(7 * i + j) * (1 if j < 4 else 0.1) + (0 if j < 4 else 10.0 * ((j + group(i)) % 3))
+    rows = [(i, [value(i, j) for j in range(64)]) for i in range(300)]
+    d = spark.createDataFrame([*rows, (300, None), (301, [None] * 64)], "vec_id long, embedding array<float>")
+    base = scratch_path(spark, "vectors")
+    d.write.parquet(f"{base}/embeddings.parquet")
+    got = runner(all_queries()["cluster_scan"])(spark, base).collect()
+    assert sorted(r["vec_id"] for r in got) == list(range(300))
+    held = {}
+    for r in got:
+        held.setdefault(r["cluster"], set()).add(group(r["vec_id"]))
+    assert all(len(x) == 1 for x in held.values())
+    assert all(r["anomalous"] and r["cluster_size"] <= 10 for r in got if r["vec_id"] >= 290)
+
+
 def test_stream_appends_what_the_batch_counts(spark):
     base = scratch_path(spark, "stream")
     rows = [(f"2024-01-0{1 + i % 4} 0{i % 10}:00:00", "click" if i % 2 else "view", float(i)) for i in range(200)]

@@ -1,5 +1,6 @@
 """Outliers, tests, trends, clusters, samples and the usage stream."""
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from zonalis.operators import spatial as P
@@ -145,8 +146,9 @@ def _(t):
 
 @query("cluster_scan", "2.15-13")
 def _(t):
-    d = t.embeddings.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(4)])
-    return X.cluster_scan(d, [f"e{i}" for i in range(4)]).select("vec_id", "cluster", "cluster_size", "anomalous")
+    whole = F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull())
+    d = t.embeddings.filter(whole).select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    return X.cluster_scan(d, ["v"]).select("vec_id", "cluster", "cluster_size", "anomalous")
 
 
 @query("stratified_sample", "2.15-14", sql=with_sql(AREAS, """
