@@ -189,6 +189,16 @@ def test_fuzzy_lines(spark):
         ("3", "", 1, 1), ("4", None, 0, 0), ("5", "", 1, 0), ("None", long, 1, 0), ("6", "", 2, 2)], key=lambda x: (x[0], str(x[1])))
 
 
+def test_short_lines_that_repeat(spark, tmp_path):
+    """Short lines go if their normal forms are equal, never for being alike; blank ones stay."""
+    from zonalis.llm.queries import op8_line_dedup
+
+    docs = [(1, "Menu\n\n---\nClick here to subscribe\n今日は晴れです"), (2, "menu!\n\n---\nclick here to subscribe\nMend"), (3, "今日は晴れです"), (4, "Menu\nMenu"), (None, "Menu")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in op8_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (docs[0][1], 0), 2: ("\n---\nMend", 2), 3: ("", 1), 4: ("", 2), None: ("Menu", 0)}
+
+
 def test_crowded_lines(spark):
     """A bucket of many lines: all of one family but the stranger are one group."""
     base = prose(8, 50)

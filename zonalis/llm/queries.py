@@ -86,7 +86,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the lines that repeat, closely or exactly, an earlier one."""
-    return fuzzy_lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return fuzzy_lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), short=True)
 
 
 @query
