@@ -199,6 +199,37 @@ def test_short_lines_that_repeat(spark, tmp_path):
     assert got == {1: (docs[0][1], 0), 2: ("\n---\nMend", 2), 3: ("", 1), 4: ("", 2), None: ("Menu", 0)}
 
 
+def test_all_similar_lines_are_found(spark):
+    """With the production values, against brute force: edits are scattered up to and beyond the limit."""
+    import random
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng, texts, similar = random.Random(5), [], {}
+    for n in [*range(24, 45), 60, 89, 90, 130]:
+        for edits in sorted({1, n // 20 + 1, n // 10, n // 10 + 1}):
+            for kind in ("change", "drop", "mixed"):
+                one = "".join(rng.choice("abcdefghijklm𝒳今éßñ") for _ in range(n))
+                two = list(one)
+                for k in range(edits):
+                    at = (k * n // edits + rng.randrange(3)) % len(two)
+                    how = rng.choice(["change", "drop", "put"]) if kind == "mixed" else kind
+                    two[at : at + (how != "put")] = [] if how == "drop" else [rng.choice("nopqrs") + (" " if how == "put" else "")]
+                texts += [one, "".join(two)]
+                form = " ".join(texts[-1].split())
+                similar[len(texts) - 1] = min(n, len(form)) >= 24 and distance(one, form) <= int(max(n, len(form)) * 0.1 + 1e-9)
+    assert 100 < sum(similar.values()) < len(similar)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gone = {r["doc_id"] for r in fuzzy_lines.dedup_lines(docs).collect() if not r["text"]}
+    assert gone == {i for i, alike in similar.items() if alike}
+
+
 def test_crowded_lines(spark):
     """A bucket of many lines: all of one family but the stranger are one group."""
     base = prose(8, 50)
