@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import credentials, fuzzy_lines, neighbour_quality, pfair, piece_transducer, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
+from zonalis.llm import anchor_tree, credentials, fuzzy_lines, neighbour_quality, pfair, piece_transducer, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
 from zonalis.llm.sql import SQL
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -104,5 +104,14 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return credentials.digest(credentials.find_credentials(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """For every vec_id divisible by 100 and its 5 best of the same label, the 5 best of other labels
+    within 80 to 100 % of their score; a seventh of the labels is changed first."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return anchor_tree.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, sql in SQL.items() if name in QUERIES}

@@ -20,6 +20,18 @@ s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint
   from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0 and len(c.v) = len(q.v)),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 5""",
+    "op12_hard_negatives": """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as alike, list_dot_product(a.v, b.v)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where a.vec_id % 100 = 0),
+p as (select anchor_id, id as positive_id, score as positive_score from s where alike
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank,
+  id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not alike and 80 * positive_score <= 100 * score and score <= positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, id) <= 5""",
     "op3_substring_dedup": rf"""
 with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') as w from documents),
 g as (select doc_id, i, array_to_string(w[i:i+12], ' ') as g from d, lateral (select unnest(range(1, len(w) - 11)) as i)),
