@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import anchor_tree, credentials, fuzzy_lines, neighbour_quality, pfair, piece_transducer, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
+from zonalis.llm import anchor_tree, credentials, fuzzy_lines, neighbour_quality, pfair, phrase_growth, piece_transducer, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
 from zonalis.llm.sql import SQL
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -113,5 +113,11 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return anchor_tree.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+@query
+def op13_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 best phrases of two or three words of every language."""
+    return phrase_growth.mine_phrases(table(spark, folder, "documents"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, sql in SQL.items() if name in QUERIES}

@@ -32,6 +32,24 @@ select anchor_id, positive_id, row_number() over (partition by anchor_id, positi
   id as negative_id, positive_score, score as negative_score
 from p join s using (anchor_id) where not alike and 80 * positive_score <= 100 * score and score <= positive_score
 qualify row_number() over (partition by anchor_id, positive_id order by score desc, id) <= 5""",
+    "op13_phrase_mining": r"""
+with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+g as (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) as phrase
+  from w, (values (1), (2), (3)) t(k) where len(w) >= k),
+f as (select lang, k, phrase, count(*) as f from g group by all),
+n as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= 10),
+u as (select lang, k, phrase, a, unnest(range(1, k)) as cut, w from c),
+s as (select u.lang, u.k, u.phrase, u.a, x.f as l, y.f as r, cut, ((1000000::hugeint * a * a) // (x.f::hugeint * y.f))::bigint as score
+  from u join f x on x.lang = u.lang and x.phrase = array_to_string(w[1:cut], ' ')
+  join f y on y.lang = u.lang and y.phrase = array_to_string(w[cut+1:], ' ')),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+h as (select lang, phrase, max(a) as longer from (select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase from c where k = 3) group by all),
+o as (select b.* from b left join h on h.lang = b.lang and h.phrase = b.phrase where b.k = 3 or h.longer is null or 100 * h.longer < 50 * b.a)
+select o.lang, row_number() over (partition by o.lang order by score desc, a desc, phrase)::int as rank, phrase, a, l, r, n.n, score
+from o join n on n.lang = o.lang qualify row_number() over (partition by o.lang order by score desc, a desc, phrase) <= 2000""",
     "op3_substring_dedup": rf"""
 with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') as w from documents),
 g as (select doc_id, i, array_to_string(w[i:i+12], ' ') as g from d, lateral (select unnest(range(1, len(w) - 11)) as i)),
