@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import anchor_tree, credentials, fuzzy_lines, neighbour_quality, pfair, phrase_growth, piece_transducer, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search
+from zonalis.llm import anchor_tree, credentials, fuzzy_lines, neighbour_quality, pfair, phrase_growth, piece_transducer, product_quantiser, sentence_toxicity, signature_tree, suffix_automata, threshold_search, winnowing
 from zonalis.llm.sql import SQL
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -104,6 +104,15 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return credentials.digest(credentials.find_credentials(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+@query
+def op11_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every whole text and of its text edited with the next document's."""
+    found = winnowing.fingerprint_edits(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        *[winnowing.written(F.col(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")], "near_edited", "near_next")
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """For every vec_id divisible by 100 and its 5 best of the same label, the 5 best of other labels

@@ -104,3 +104,31 @@ from documents d left join s on s.doc_id = d.doc_id"""
 
 
 SQL["op10_secret_scan"] = _secret_scan()
+
+
+def _fingerprints() -> str:
+    from zonalis.llm import winnowing as f
+
+    gram = " + ".join(f"coalesce(lead(code, {j}) over w, 0) * {pow(f._BASE, f.GRAM - 1 - j, f._PRIME)}" for j in range(f.GRAM))
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, coalesce(
+    lead(doc_id) over (order by doc_id), min(doc_id) over ()) as next_id from documents),
+e as (select d.*, substr(d.t, 1, d.n - d.n // 2) || substr(x.t, 1, d.n // 2) as e from d join d x on x.doc_id = d.next_id),
+s as (select doc_id, 'own' as kind, t as s from e union all select doc_id, 'edited', e from e),
+l as (select doc_id, kind, regexp_extract_all(s, '(?s).') as l from s),
+c as (select doc_id, kind, len(l) as n, generate_subscripts(l, 1) as i, ord(unnest(l))::bigint as code from l),
+g as (select doc_id, kind, n, i, ({gram}) % {f._PRIME} as h from c window w as (partition by doc_id, kind order by i)),
+m as (select doc_id, kind, n, i, min(h * 4294967296 + 4294967296 - i) over (partition by doc_id, kind order by i rows between current row and {f.WINDOW - 1} following) as v
+  from g where i <= greatest(n - {f.GRAM - 1}, 1)),
+k as (select distinct doc_id, kind, v // 4294967296 as h, 4294967295 - v % 4294967296 as p from m where i <= greatest(n - {f.GRAM + f.WINDOW - 2}, 1)),
+w as (select doc_id, kind, string_agg(p || ':' || h, ',' order by p) as f, list(distinct h) as hs from k group by all),
+o as (select e.doc_id, e.n as n_chars, sha256(e.e) as edited_sha256, coalesce(a.f, '') as fingerprint, coalesce(b.f, '') as edited_fingerprint,
+  coalesce(a.hs, []) as x, coalesce(b.hs, []) as y, coalesce(c.hs, []) as z
+  from e left join w a on a.doc_id = e.doc_id and a.kind = 'own' left join w b on b.doc_id = e.doc_id and b.kind = 'edited'
+  left join w c on c.doc_id = e.next_id and c.kind = 'own')
+select doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  case when len(x) + len(y) = 0 then 1.0::double else len(list_intersect(x, y))::double / len(list_distinct(x || y)) end as near_edited,
+  case when len(x) + len(z) = 0 then 1.0::double else len(list_intersect(x, z))::double / len(list_distinct(x || z)) end as near_next from o"""
+
+
+SQL["op11_document_fingerprints"] = _fingerprints()
