@@ -329,3 +329,32 @@ def test_empty_tables(none, spark):
         neighbour_quality.score_quality(none, neighbour_quality.train(none, labels)),
     ):
         assert out.count() == 0
+
+
+def test_toxicity_is_the_noisy_or(spark):
+    """Scores against the formula, sentence by sentence, with a model given by hand."""
+    import math
+
+    model = sentence_toxicity.ToxicityModel({"gargle": 9.0, "mild": 4.0, "garg~": 1.5, "calm": -2.0}, -6.0)
+    texts = ["Calm. You gargle! mild, mild\nGargles", "mild. mild. mild.", "nothing here", "", None, "...", "mild. mild. mild."]
+    want = []
+    for t in texts:
+        clear = 1.0
+        for a, b in sentence_toxicity.sentences(t or ""):
+            words = re.findall(r"\w+", t[a:b].lower())
+            z = model.bias + sum(w for x, w in model.weights.items() if (x in words if not x.endswith("~") else any(y.startswith(x[:-1]) and len(y) > 4 for y in words)))
+            clear *= 1 - 1 / (1 + math.exp(-z))
+        want.append(1 - clear)
+    got = {r["doc_id"]: r["score"] for r in sentence_toxicity.score_toxicity(spark.createDataFrame(rows(*enumerate(texts)), SCHEMA), model).collect()}
+    assert all(abs(got[i] - p) < 1e-12 for i, p in enumerate(want))
+
+
+def test_copies_are_no_evidence_but_recurring_sentences_are(spark):
+    """An insult among ever other sentences is learnt; the words of one document's copies are not."""
+    copied = " ".join(prose(77, 12)) + ". Innocent zebra stripes."
+    docs = [(i, (f"{' '.join(prose(i, 9))}. You snarf. {' '.join(prose(-i, 9))}." if i % 2 else " ".join(prose(i, 20)) + ".")) for i in range(200)]
+    docs += [(1_000 + i, copied) for i in range(100)] + [(2_000, "A zebra in peace.")]
+    frame = spark.createDataFrame(rows(*docs), SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(200)] + [(1_000 + i, 1) for i in range(100)], "doc_id long, toxic int")
+    model = sentence_toxicity.train(frame, labels)
+    assert model.weights.get("snarf", 0) > 0 and "zebra" not in model.weights

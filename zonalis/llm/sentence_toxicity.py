@@ -93,9 +93,15 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class
     word = encoded.indices.to_numpy()
     sent = np.repeat(np.arange(len(per_sentence)), per_sentence.value_lengths().to_numpy())
     doc_of = np.repeat(np.arange(len(per_doc)), per_doc.value_lengths().to_numpy())
-    # A sentence that recurs counts once, so that copies of a document are no evidence.
+    # A sentence counts once between the same neighbours: copies of a document are no evidence,
+    # but a sentence found again among others is.
     starts = np.flatnonzero(np.r_[True, sent[1:] != sent[:-1]])
-    same = np.add.reduceat(mix(word.astype(np.uint64)), starts)
+    whole = np.zeros(len(per_sentence), np.uint64)
+    whole[sent[starts]] = np.add.reduceat(mix(word.astype(np.uint64)), starts)
+    first_of_doc = np.r_[True, doc_of[1:] != doc_of[:-1]]
+    before = np.where(first_of_doc, np.uint64(0), np.r_[np.uint64(0), whole[:-1]])
+    after = np.where(np.r_[first_of_doc[1:], True], np.uint64(0), np.r_[whole[1:], np.uint64(0)])
+    same = mix(whole + mix(before + np.uint64(1)) + mix(mix(after + np.uint64(2))))[sent[starts]]
     toxic = labelled[doc_of[sent[starts]]] == 1
     held, left = [], []
     for side in (toxic, ~toxic):
