@@ -24,7 +24,7 @@ def test_stages(spark):
     assert ids(after) == good and 0 < len(good) < before.count()
 
     before, after = kept["line dedup"]
-    texts = {r["doc_id"]: r["text"] for r in fuzzy_lines.dedup_lines(before).collect()}
+    texts = {r["doc_id"]: r["text"] for r in fuzzy_lines.dedup_lines(before, short=True).collect()}
     assert {r["doc_id"]: r["text"] for r in after.collect()} == {i: t for i, t in texts.items() if t.split()}
     assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
 
