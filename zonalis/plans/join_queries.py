@@ -324,6 +324,25 @@ def _(t):
     return n.withColumn("distance_km", r(F.col("distance_km"), 6))
 
 
+@query("nearest_services", "2.4-18", sql=with_sql(AREAS, _STATIONS, f"d AS (SELECT a.area_id, b.station_id, {_KM} AS km FROM areas a, st b)") + """
+SELECT area_id, row_number() OVER (PARTITION BY area_id ORDER BY km, station_id)::INTEGER AS rank, station_id AS service_id, round(km, 6) AS distance_km
+FROM d QUALIFY row_number() OVER (PARTITION BY area_id ORDER BY km, station_id) <= 5""")
+def _(t):
+    n = P.nearest_services(areas(t), stations(t), area=("area_id", "lon", "lat"), service=("station_id", "slon", "slat"), k=5)
+    return n.withColumn("distance_km", r(F.col("distance_km"), 6))
+
+
+@query("hot_spots", "2.4-18", sql=with_sql(AREAS, """
+a AS (SELECT area_id, floor((lon + 180) / 2) AS cx, floor((lat + 90) / 2) AS cy, balance AS v FROM areas),
+c AS (SELECT cx, cy, count(*) AS c, sum(v) AS s FROM a GROUP BY 1, 2), w AS (SELECT count(*) AS n, avg(v) AS m, stddev_pop(v) AS d FROM a),
+h AS (SELECT x.cx, x.cy, sum(y.c) AS k, sum(y.s) AS s FROM c x JOIN c y ON abs(x.cx - y.cx) <= 1 AND abs(x.cy - y.cy) <= 1 GROUP BY 1, 2),
+z AS (SELECT area_id, k::BIGINT AS neighbours, CASE WHEN k < n THEN (h.s - m * k) / (d * sqrt((n * k - k * k) / (n - 1))) END AS z FROM a JOIN h USING (cx, cy), w)""") + """
+SELECT area_id, neighbours, round(z, 6) AS z, CASE WHEN z >= 1.96 THEN 'hot' WHEN z <= -1.96 THEN 'cold' ELSE 'none' END AS spot FROM z""")
+def _(t):
+    h = P.hot_spots(areas(t), area_id="area_id", lon="lon", lat="lat", value="balance", cell=2.0)
+    return h.withColumn("z", r(F.col("z"), 6))
+
+
 @query("mart_with_nearest_climate", "2.4-19", "2.4-03", sql=with_sql(*RAW_CTES, _SOCIO, _STATIONS, f"""
 d AS (SELECT a.sa2_code, b.station_id, {_KM} AS km FROM areas a, st b), n AS (SELECT sa2_code, arg_min(station_id, row(km, station_id)) AS station_id FROM d GROUP BY 1),
 c AS (SELECT station_id, avg(temperature_max_celsius) AS tx, avg(rainfall_mm) AS rain FROM raw_bom_climate GROUP BY 1),
