@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.operators.common import attach_row
 from zonalis.operators.ordering import carried_value, exact_quantiles, neighbours, value_runs
+from zonalis.session import materialise
 
 _KEY = "_field"
 
@@ -27,44 +28,63 @@ def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -
     return df.select(*keep, F.inline(cells)).filter("_value IS NOT NULL")
 
 
-def _wide(stat: DataFrame, columns: Sequence[str], group: Sequence[str], suffix: str) -> DataFrame:
-    picks = [F.max(F.when(F.col(_KEY) == c, F.col("_stat"))).alias(f"{c}{suffix}") for c in columns]
-    return stat.groupBy(*group).agg(*picks)
+def _rolled_up(cells: DataFrame, levels: Sequence[str | None], count: Column) -> DataFrame:
+    """(_field, _level, levels..., _value, _c): the values counted once at the finest level and
+    added up for every level i of the ladder; of the levels' columns only the i-th is filled."""
+    named = [c for c in levels if c]
+    fine = cells.groupBy(_KEY, *named, "_value").agg(count.alias("_c"))
+    masks = F.array(*[
+        F.struct(F.lit(i).alias("_level"), *[(F.col(c) if c == level else F.lit(None).cast(fine.schema[c].dataType)).alias(f"_at_{c}") for c in named])
+        for i, level in enumerate(levels)])
+    each = fine.select(_KEY, "_value", "_c", F.inline(masks))
+    at = [f"_at_{c}" for c in named]
+    # Rows without an area at a level take nothing from it.
+    here = [F.lit(True) if level is None else (F.col("_level") != i) | F.col(f"_at_{level}").isNotNull() for i, level in enumerate(levels)]
+    keep = here[0]
+    for h in here[1:]:
+        keep = keep & h
+    return each.filter(keep).groupBy(_KEY, "_level", *at, "_value").agg(F.sum("_c").alias("_c"))
 
 
-def median_table(df: DataFrame, columns: Sequence[str], group: Sequence[str], suffix: str, **kw) -> DataFrame:
-    cells = long_form(df, columns, group)
-    return _wide(exact_quantiles(cells, "_value", {"_stat": 0.5}, [_KEY, *group], **kw), columns, group, suffix)
+def _at(levels: Sequence[str | None]) -> list[str]:
+    return [_KEY, "_level", *[f"_at_{c}" for c in levels if c]]
 
 
-def mode_table(df: DataFrame, columns: Sequence[str], group: Sequence[str], suffix: str) -> DataFrame:
+def median_stats(df: DataFrame, columns: Sequence[str], levels: Sequence[str | None], **kw) -> DataFrame:
+    """Medians of all levels from one sort of the counted values."""
+    rolled = _rolled_up(long_form(df, columns, [c for c in levels if c]), levels, F.count(F.lit(1)))
+    return exact_quantiles(rolled, "_value", {"_stat": 0.5}, _at(levels), count="_c", **kw)
+
+
+def mode_stats(df: DataFrame, columns: Sequence[str], levels: Sequence[str | None]) -> DataFrame:
     """Smallest most frequent value; counts first, so no buffer of distinct values."""
-    counts = long_form(df, columns, group).groupBy(_KEY, *group, "_value").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy(_KEY, *group).agg(
-        F.min_by("_value", F.struct((-F.col("n")).alias("n"), F.col("_value"))).alias("_stat"))
-    return _wide(best, columns, group, suffix)
+    rolled = _rolled_up(long_form(df, columns, [c for c in levels if c]), levels, F.count(F.lit(1)))
+    return rolled.groupBy(*_at(levels)).agg(F.min_by("_value", F.struct((-F.col("_c")).alias("n"), F.col("_value"))).alias("_stat"))
 
 
-def weighted_median_table(df: DataFrame, columns: Sequence[str], weight: str, group: Sequence[str],
-                          suffix: str, **kw) -> DataFrame:
+def weighted_median_stats(df: DataFrame, columns: Sequence[str], weight: str, levels: Sequence[str | None], **kw) -> DataFrame:
     """First value whose running weight passes half of the total; zero weights count as one."""
     base = df.withColumn("_w", F.when(F.coalesce(F.col(weight), F.lit(0)) == 0, 1.0)
                          .otherwise(F.col(weight).cast("double")))
-    cells = long_form(base, columns, [*group, "_w"])
-    runs = value_runs(cells, "_value", [_KEY, *group], weight="_w", **kw)
+    rolled = _rolled_up(long_form(base, columns, [*[c for c in levels if c], "_w"]), levels, F.sum("_w"))
+    runs = value_runs(rolled, "_value", _at(levels), weight="_c", **kw)
     past_half = F.col("_cum") > F.col("_total") / 2
-    stat = runs.groupBy(_KEY, *group).agg(
-        F.coalesce(F.min(F.when(past_half, F.col("_value"))), F.max("_value")).alias("_stat"))
-    return _wide(stat, columns, group, suffix)
+    return runs.groupBy(*_at(levels)).agg(F.coalesce(F.min(F.when(past_half, F.col("_value"))), F.max("_value")).alias("_stat"))
 
 
-def _ladder(df, columns, levels, table, last_resort):
+def _ladder(df, columns, levels, stats, last_resort):
+    """Nulls filled from the first level that has a statistic; stats(df, columns, levels)
+    gives those of all levels, a row per field and area, which are written once."""
+    found = materialise(stats(df, columns, levels), "ladder")
     out = df
     fills: dict[str, list] = {c: [F.col(c).cast("double")] for c in columns}
     for i, level in enumerate(levels):
-        group = [level] if level else []
-        stat = table(df, columns, group, f"_l{i}")
-        out = out.join(stat, group, "left") if group else attach_row(out, stat)
+        picks = [F.max(F.when(F.col(_KEY) == c, F.col("_stat"))).alias(f"{c}_l{i}") for c in columns]
+        mine = found.filter(F.col("_level") == i)
+        if level:
+            out = out.join(mine.groupBy(F.col(f"_at_{level}").alias(level)).agg(*picks), level, "left")
+        else:
+            out = attach_row(out, mine.agg(*picks))
         for c in columns:
             fills[c].append(F.col(f"{c}_l{i}"))
     if last_resort is not None:
@@ -82,16 +102,16 @@ def fill_statistic(df: DataFrame, columns: Sequence[str], how: str, **kw) -> Dat
         return filled.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"{c}_l0")) for c in columns}).select(
             *df.columns)
     if how == "median":
-        return _ladder(df, columns, [None], lambda d, cs, g, s: median_table(d, cs, g, s, **kw), None)
+        return _ladder(df, columns, [None], lambda *a: median_stats(*a, **kw), None)
     if how == "mode":
-        return _ladder(df, columns, [None], mode_table, None)
+        return _ladder(df, columns, [None], mode_stats, None)
     raise ValueError(f"unknown fill {how}")
 
 
 def fill_ladder_median(df: DataFrame, columns: Sequence[str], levels: Sequence[str], *,
                        last_resort: float | None = 0.0, **kw) -> DataFrame:
     """Median of the nearest level that has one, then the whole table's, then the last resort."""
-    return _ladder(df, columns, [*levels, None], lambda d, cs, g, s: median_table(d, cs, g, s, **kw), last_resort)
+    return _ladder(df, columns, [*levels, None], lambda *a: median_stats(*a, **kw), last_resort)
 
 
 def fill_ladder_mode(df: DataFrame, columns: Sequence[str], levels: Sequence[str], *,
@@ -99,14 +119,14 @@ def fill_ladder_mode(df: DataFrame, columns: Sequence[str], levels: Sequence[str
     """Mode of the nearest level.  With `empty_group_is_zero`, a first level without
     any value gives 0 and the ladder stops there."""
     if empty_group_is_zero:
-        return _ladder(df, columns, [levels[0]], mode_table, 0.0)
-    return _ladder(df, columns, [*levels, None], mode_table, 0.0)
+        return _ladder(df, columns, [levels[0]], mode_stats, 0.0)
+    return _ladder(df, columns, [*levels, None], mode_stats, 0.0)
 
 
 def fill_ladder_weighted_median(df: DataFrame, columns: Sequence[str], weight: str, levels: Sequence[str],
                                 **kw) -> DataFrame:
     return _ladder(df, columns, [*levels, None],
-                   lambda d, cs, g, s: weighted_median_table(d, cs, weight, g, s, **kw), 0.0)
+                   lambda d, cs, ls: weighted_median_stats(d, cs, weight, ls, **kw), 0.0)
 
 
 def fill_forward(df: DataFrame, column: str, order: Sequence[str], group: Sequence[str] = (), **kw) -> DataFrame:

@@ -142,12 +142,13 @@ def exact_quantiles(
     group: Sequence[str] = (),
     *,
     exclusive: bool = False,
+    count: str | None = None,
 ) -> DataFrame:
     """Exact quantiles per group, linear between neighbours (position p(n-1)), or
-    the exclusive form at p(n+1); _n counts the values.  Positions are read off sorted
-    value runs, never off a per-group buffer."""
-    base = df.select(*group, value).filter(F.col(value).isNotNull())
-    runs = value_runs(base, value, group)
+    the exclusive form at p(n+1); _n counts the values, or adds up `count` where rows stand for
+    many.  Positions are read off sorted value runs, never off a per-group buffer."""
+    base = df.select(*group, value, *([count] if count else [])).filter(F.col(value).isNotNull())
+    runs = value_runs(base, value, group, weight=count)
     n, out = F.col("_total"), []
     for name, p in probs.items():
         at = F.lit(p) * (n + 1) if exclusive else F.lit(p) * (n - 1) + 1
