@@ -12,15 +12,24 @@ from zonalis.operators.ordering import exact_quantiles, positions
 
 
 def _ranked(df: DataFrame, score: str, key: str, within: Sequence[str], prefix: str, bins: Column, **kw) -> DataFrame:
-    """Ranks inside `within`; rows without a score form a group of their own and get nulls."""
-    known = df.withColumn("_known", F.col(score).isNotNull())
-    p = positions(known, [score, key], ["_known", *within], ties=[score], **kw)
+    """Ranks inside `within`; rows without a score get nulls.  Only group, score and key are sorted
+    and written; the places come back to the rows by these.  Rows alike in all three share the first
+    of their places."""
+    names = list(dict.fromkeys([*within, score, key]))
+    scored = df.select(*names).filter(F.col(score).isNotNull())
+    p = positions(scored, [score, key], within, ties=[score], **kw)
+    places = p.groupBy(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(names)]).agg(
+        F.min("_rn").alias("_rn"), F.min("_rank").alias("_rank"), F.min("_n").alias("_n"))
+    same = None
+    for i, c in enumerate(names):
+        equal = F.col(c) == F.col(f"_of_{i}") if c == score else F.col(c).eqNullSafe(F.col(f"_of_{i}"))
+        same = equal if same is None else same & equal
+    joined = df.join(places, same, "left")
     step = F.col("_n") - 1
     ceil = F.when(step > 0, F.floor((bins * (F.col("_rn") - 1) + step - 1) / F.when(step > 0, step)))
-    return p.withColumns({
-        f"{prefix}_rank": F.when(F.col("_known"), F.col("_rank")),
-        f"{prefix}_decile": F.when(F.col("_known"), F.greatest(F.lit(1), F.coalesce(ceil, F.lit(1))).cast("int")),
-    }).select(*df.columns, f"{prefix}_rank", f"{prefix}_decile")
+    return joined.select(
+        *df.columns, F.col("_rank").alias(f"{prefix}_rank"),
+        F.when(F.col("_n").isNotNull(), F.greatest(F.lit(1), F.coalesce(ceil, F.lit(1))).cast("int")).alias(f"{prefix}_decile"))
 
 
 def rank_scores(df: DataFrame, score: str, key: str, *, within: Sequence[str] = (), prefix: str | None = None,
