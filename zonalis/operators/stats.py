@@ -115,7 +115,7 @@ def consensus_outliers(df: DataFrame, column: str, low: float | None = None, hig
 def multivariate_outliers(df: DataFrame, columns: Sequence[str], share: float = 0.05, **kw) -> DataFrame:
     """Squared Mahalanobis distance and a flag on the farthest share of complete rows.
 
-    A stated replacement for a forest of random splits: same use, other method.
+    For a bulk of one ellipse; `forest.forest_outliers` takes any shape.
     Means and covariances are one aggregate; only that small matrix is inverted here.
     """
     d = df.na.drop(subset=list(columns))

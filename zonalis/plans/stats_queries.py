@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from zonalis.operators import spatial as P
 from zonalis.operators import stats as X
+from zonalis.operators.forest import forest_outliers
 from zonalis.plans.frames import AREAS, LABOUR, areas, labour, r, with_sql
 from zonalis.plans.join_queries import BOXES, boxes
 from zonalis.plans.registry import query
@@ -56,6 +57,12 @@ def _(t):
     return d.select("l_orderkey", "l_linenumber", r(F.col("distance2"), 5).alias("distance2"), "outlier")
 
 
+@query("outliers_forest", "2.15-05")
+def _(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount")
+    return forest_outliers(rows, ["l_quantity", "l_extendedprice", "l_discount"]).select("l_orderkey", "l_linenumber", "isolation", "outlier")
+
+
 @query("unexpected_correlations", "2.15-06", sql=with_sql(LABOUR, "x AS (SELECT corr(people, managers) AS a, corr(people, unemployed) AS b, count(*) AS n FROM labour)") + """
 SELECT 'smoking_rate' AS first, 'mortality_rate_all_causes' AS second, round(a, 8) AS corr, n AS pairs, true AS significant, CASE WHEN a < 0 THEN 'ERROR' ELSE 'WARNING' END AS severity FROM x WHERE abs(a - 0.3) > 0.2
 UNION ALL SELECT 'life_expectancy_male', 'life_expectancy_female', round(b, 8), n, true, 'WARNING' FROM x WHERE abs(b) < 0.7""")
