@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonalis.operators.ordering import positions
+
 TRANSFORMS = {
     "uppercase": F.upper, "lowercase": F.lower, "strip": F.trim,
     "to_int": lambda c: c.try_cast("long"), "to_float": lambda c: c.try_cast("double"),
@@ -98,6 +100,33 @@ def page_after(df: DataFrame, key: str, last_seen, limit: int) -> DataFrame:
     return rest.orderBy(key).limit(limit)
 
 
+PAGES, ROWS = "pages", "rows"
+
+
+def write_pages(df: DataFrame, path: str, order: Sequence[str], size: int) -> None:
+    """df in the order of its columns `order`, which no two rows share and which are not null, with an
+    index of the first and last key of every page of `size` rows."""
+    placed = positions(df, order).withColumn("_page", F.floor((F.col("_rn") - 1) / size))
+    rows = placed.drop("_rn", "_n")
+    rows.repartitionByRange("_page").sortWithinPartitions(*order).drop("_page").write.parquet(f"{path}/{ROWS}")
+    key = F.struct(*order)
+    placed.groupBy("_page").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}/{PAGES}")
+
+
+def read_page(spark: SparkSession, path: str, order: Sequence[str], number: int) -> DataFrame:
+    """Page `number` (from 0) of what write_pages wrote: one index row, then one range of keys, which
+    the scan skips to; no row before it is read or sorted.  Beyond the last page there are no rows."""
+    rows = spark.read.parquet(f"{path}/{ROWS}")
+    found = spark.read.parquet(f"{path}/{PAGES}").filter(F.col("_page") == number).select("first", "last").first()
+    if found is None:
+        return rows.limit(0)
+    low, high = found["first"], found["last"]
+    lead = F.col(order[0]).between(F.lit(low[0]), F.lit(high[0]))  # what the files' statistics can judge
+    key = F.struct(*order)
+    ends = [F.struct(*[F.lit(end[c]).cast(rows.schema[c].dataType).alias(c) for c in order]) for end in (low, high)]
+    return rows.filter(lead & (key >= ends[0]) & (key <= ends[1])).orderBy(*order)
+
+
 def equals(df: DataFrame, **wanted) -> DataFrame:
     for name, value in wanted.items():
         df = df.filter(F.col(name) == F.lit(value))

@@ -138,7 +138,7 @@ def _(t):
     shaped = areas(t).select("sa2_code", "sa2_name", "sa3_code", "state_code",
                              F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
     K.write_geojson(shaped, path, geometry="geometry")
-    back = documents.read_features(t.spark, path, "sa2_code:string,sa2_name:string,sa3_code:string,state_code:string", sequence=True)
+    back = documents.read_features(t.spark, path, "sa2_code:string,sa2_name:string,sa3_code:string,state_code:string", lined=True)
     g = records.geographic_records(back, "SA2")
     return g.select("geographic_id", "geographic_name", r(F.col("area_square_km"), 3).alias("area_square_km"),
                     F.col("geographic_hierarchy.sa3_code").alias("sa3_code"), "urbanisation", "remoteness_category")
@@ -311,3 +311,26 @@ def _(t):
     d1 = b.filter("amount > 5000").withColumn("origin", F.lit("first"))
     d2 = b.filter("amount > 9000").withColumns({"origin": F.lit("second"), "amount": F.col("amount") * 2})
     return K.merge_deltas(b, [d1, d2], ["c_custkey"])
+
+
+@query("merged_partitions", "2.2-17", sql="""
+SELECT o_orderkey, year(o_orderdate)::INTEGER AS order_year, CASE WHEN year(o_orderdate) = 1995 AND o_orderkey % 3 = 0 THEN 'second' WHEN year(o_orderdate) = 1995 THEN 'first' ELSE 'base' END AS origin,
+  o_totalprice AS amount FROM orders
+UNION ALL SELECT o_orderkey, 2030, 'second', o_totalprice FROM orders WHERE o_orderkey % 5 = 0""")
+def _(t):
+    path = scratch(t, "merged")
+    base = t.orders.select("o_orderkey", F.year("o_orderdate").alias("order_year"), F.lit("base").alias("origin"), F.col("o_totalprice").alias("amount"))
+    K.write_by_column(base, path, ["order_year"])
+    first = base.filter("order_year = 1995").withColumn("origin", F.lit("first"))
+    second = base.withColumn("origin", F.lit("second"))
+    second = second.filter("order_year = 1995 AND o_orderkey % 3 = 0").unionAll(second.filter("o_orderkey % 5 = 0").withColumn("order_year", F.lit(2030)))
+    K.merge_into(t.spark, path, [first, second], ["o_orderkey", "order_year"], ["order_year"])
+    return t.spark.read.parquet(path).select("o_orderkey", "order_year", "origin", "amount")
+
+
+@query("json_documents", "2.2-03", "2.1-05", sql="SELECT o_orderkey, coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, '') AS status FROM orders")
+def _(t):
+    path = scratch(t, "jsondocs")
+    K.write_json_documents(t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status")), path, facts={"source": "orders"})
+    record = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("status", T.StringType())])
+    return documents.read_json_records(t.spark, path, record)

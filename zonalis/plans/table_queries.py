@@ -11,6 +11,7 @@ from zonalis.operators import sets as S
 from zonalis.operators.common import attach_row
 from zonalis.plans.frames import AREAS, LABOUR, areas, labour, r, with_sql
 from zonalis.plans.registry import query
+from zonalis.session import scratch_path
 
 # --- mapping and filters -------------------------------------------------
 
@@ -129,6 +130,13 @@ def _(t):
     return M.page(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 50, 100)
 
 
+@query("page_by_index", "2.3-14", sql="SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 40 OFFSET 280")
+def _(t):
+    path = scratch_path(t.spark, "pages")
+    M.write_pages(t.orders.select("o_orderkey", "o_totalprice"), path, ["o_totalprice", "o_orderkey"], 40)
+    return M.read_page(t.spark, path, ["o_totalprice", "o_orderkey"], 7)
+
+
 @query("quality_filter", "2.3-15", sql=with_sql(LABOUR) + """
 SELECT area_id, unemployed::DOUBLE / people AS quality FROM labour WHERE unemployed::DOUBLE / people >= 0.5""")
 def _(t):

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import json
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonalis.functions import geo
+from zonalis.session import materialise
 
 CODEC = "zstd"
 
@@ -75,6 +81,35 @@ def write_json(df: DataFrame, path: str, *, compress: bool = False, mode: str =
     (w.option("compression", "gzip") if compress else w).json(path)
 
 
+def one_document_a_file(rows: DataFrame, head: str, tail: str) -> DataFrame:
+    """Lines of text (`value`) between head and tail, joined by commas, for every partition: written as
+    text, each file is one document.  A task streams its lines, and Spark commits its file
+    as a whole or not at all."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = lambda *values: pa.RecordBatch.from_arrays([pa.array(values, pa.string())], names=["value"])
+        yield line(head)
+        first = True
+        for batch in batches:
+            if len(batch):
+                lead = pa.array(["" if first and not i else "," for i in range(len(batch))], pa.string())
+                yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(lead, batch.column(0).cast(pa.string()), "")], names=["value"])
+                first = False
+        yield line(tail)
+
+    return rows.select("value").mapInArrow(wrapped, "value string")
+
+
+def write_json_documents(df: DataFrame, path: str, *, listed: str = "data", facts: Mapping[str, object] | None = None, files: int | None = None,
+                         mode: str = "error") -> None:
+    """Files that are one JSON object each: `facts`, and the records in a list named `listed`.
+    `files` says how many; an empty table makes documents of no records."""
+    opening = "".join(f"{json.dumps(k)}:{json.dumps(v)}," for k, v in (facts or {}).items() if k != listed)
+    rows = df.select(F.to_json(F.struct(*json_columns(df)), {"ignoreNullFields": "false"}).alias("value"))
+    rows = rows.repartition(files) if files else rows
+    one_document_a_file(rows, "{" + opening + json.dumps(listed) + ":[", "]}").write.mode(mode).text(path)
+
+
 def _first(df: DataFrame, parts: Sequence[str]) -> str | None:
     return next((c for c in df.columns if any(p in c.lower() for p in parts)), None)
 
@@ -105,9 +140,15 @@ def geojson_lines(df: DataFrame, *, geometry: str | None = None, places: int = 6
     return df.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_geojson(df: DataFrame, path: str, *, geometry: str | None = None, mode: str = "error") -> None:
-    """A GeoJSON text sequence: splittable, one feature per line."""
-    geojson_lines(df, geometry=geometry).write.mode(mode).text(path)
+COLLECTION = ('{"type":"FeatureCollection","features":[', "]}")
+
+
+def write_geojson(df: DataFrame, path: str, *, geometry: str | None = None, sequence: bool = False, files: int | None = None, mode: str = "error") -> None:
+    """Every file is one FeatureCollection, a feature a line; with `sequence`, features only,
+    as a GeoJSON text sequence.  `files` says how many."""
+    rows = geojson_lines(df, geometry=geometry)
+    rows = rows.repartition(files) if files else rows
+    (rows if sequence else one_document_a_file(rows, *COLLECTION)).write.mode(mode).text(path)
 
 
 def write_by_column(df: DataFrame, path: str, columns: Sequence[str], *, mode: str = "error") -> None:
@@ -162,13 +203,17 @@ def write_partitioned(df: DataFrame, path: str, choice: Mapping, *, mode: str =
         df.write.mode(mode).parquet(path)
 
 
+# Name parts of coordinate columns.
+COORDINATE_PARTS = {"lat", "latitude", "lon", "lng", "longitude", "x", "y"}
+
+
 def for_web(df: DataFrame) -> DataFrame:
-    """Doubles as floats, rounded to three places unless they look like coordinates;
+    """Doubles as floats, rounded to three places unless a part of their name is a coordinate's;
     sorted by area code, else by postcode."""
     casts = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            coordinate = any(p in f.name.lower() for p in ("lat", "lon", "lng", "x", "y"))
+            coordinate = COORDINATE_PARTS.intersection(re.split("[^a-z]+", f.name.lower()))
             casts[f.name] = (F.col(f.name) if coordinate else F.round(f.name, 3)).cast("float")
     out = df.withColumns(casts)
     key = next((k for k in ("sa2_code", "postcode") if k in df.columns), None)
@@ -193,7 +238,7 @@ def export_formats(df: DataFrame, base: str, formats: Sequence[str]) -> dict[str
             if name == "parquet":
                 source = df.sparkSession.read.schema(df.schema).parquet(path)
         except Exception as e:
-            done[name] = f"failed: {type(e).__name__}"
+            done[name] = f"failed: {type(e).__name__}: {str(e).strip().splitlines()[0] if str(e).strip() else 'no message'}"
     return done
 
 
@@ -211,6 +256,44 @@ def merge_deltas(base: DataFrame, deltas: Sequence[DataFrame], key: Sequence[str
     return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "_seq").alias("_r")).select(*key, "_r.*")
 
 
+def merge_into(spark: SparkSession, path: str, deltas: Sequence[DataFrame], key: Sequence[str], partition: Sequence[str]) -> list[tuple]:
+    """Merge deltas, in creation order, into the parquet table at path and return the partitions
+    that were written.
+
+    The table is partitioned by `partition`, columns of the key, so that a row never moves.  Only the partitions
+    that deltas touch are read, merged, written aside and put in place of the old
+    ones; the files of all others stay.  Doing it again changes nothing.  A table that is not there is made.
+    """
+    if not deltas or not set(partition) <= set(key) or not partition:
+        raise ValueError("deltas are needed, and partition columns that are part of the key")
+    rows = deltas[0]
+    for d in deltas[1:]:
+        rows = rows.unionByName(d, allowMissingColumns=True)
+    # As many as folders, which the driver lists anyhow.
+    touched = sorted((tuple(r) for r in rows.select(*partition).distinct().collect()), key=str)
+    if not touched:
+        return []
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    try:
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
+        # The names of folders are read as the deltas' types, not as what they look like.
+        base = spark.read.schema(T.StructType([T.StructField(f.name, kinds[f.name] if f.name in partition else f.dataType) for f in found])).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        base = rows.limit(0)
+    mine = None
+    for values in touched:
+        one = None
+        for c, v in zip(partition, values, strict=True):
+            same = F.col(c).isNull() if v is None else F.col(c) == F.lit(v)
+            one = same if one is None else one & same
+        mine = one if mine is None else mine | one
+    merged = materialise(merge_deltas(base.filter(mine), deltas, key), "merged")
+    merged.repartition(*partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    return touched
+
+
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Row count and two order-free sums of row hashes: equal contents, no shuffle."""
     h = F.xxhash64(*(columns or sorted(df.columns)))
@@ -287,4 +370,6 @@ def read_export(spark: SparkSession, fmt: str, path: str) -> DataFrame:
         return spark.read.parquet(path)
     if fmt == "csv":
         return spark.read.option("header", True).option("escape", '"').csv(path)
-    return spark.read.json(path) if fmt == "json" else spark.read.text(path)
+    if fmt == "json":
+        return spark.read.json(path)
+    return spark.read.text(path).filter(~F.col("value").isin(*COLLECTION))

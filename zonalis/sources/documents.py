@@ -72,12 +72,14 @@ def zip_json(lines: DataFrame, schema: str) -> DataFrame:
 POLYGON = "struct<type:string,coordinates:array<array<array<double>>>>"
 
 
-def read_features(spark: SparkSession, path: str, properties: str, *, sequence: bool = False) -> DataFrame:
-    """Feature properties and polygon geometry.  A FeatureCollection is one document;
-    `sequence` reads one feature per line, which splits."""
+def read_features(spark: SparkSession, path: str, properties: str, *, sequence: bool = False, lined: bool = False) -> DataFrame:
+    """Feature properties and polygon geometry.  A FeatureCollection is one document; `sequence` reads
+    one feature per line, `lined` a collection with a feature a line between its first and last: both split."""
     feature = f"struct<type:string,properties:struct<{properties}>,geometry:{POLYGON}>"
-    if sequence:
-        rows = spark.read.text(path).select(F.from_json("value", feature).alias("f"))
+    if sequence or lined:
+        line = F.ltrim(F.col("value"), F.lit(",")) if lined else F.col("value")
+        rows = spark.read.text(path).select(F.from_json(line, feature).alias("f"))
+        rows = rows.filter(F.col("f.type") == "Feature") if lined else rows
     else:
         docs = spark.read.schema(f"type string, features array<{feature}>").option("multiLine", True).json(path)
         rows = docs.select(F.explode("features").alias("f"))
