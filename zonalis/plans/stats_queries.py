@@ -223,3 +223,18 @@ def _(t):
     q.awaitTermination()
     kept = t.spark.read.parquet(f"{base}/out")
     return usage.latest_usage(kept).withColumn("mean", r(F.col("mean"), 6))
+
+
+@query("lookback_stream", "2.16-01", sql="""
+WITH d AS (SELECT ts::DATE AS day, event_type AS kind, count(*) AS n, count(value) AS known, sum(value) AS total FROM events GROUP BY 1, 2)
+SELECT strftime(day, '%Y-%m-%d') AS day, kind, (sum(n) OVER w)::BIGINT AS n, round(sum(total) OVER w / sum(known) OVER w, 6) AS mean FROM d
+WINDOW w AS (PARTITION BY kind ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""")
+def _(t):
+    base = scratch_path(t.spark, "lookback")
+    # Four files in no order of time, read one by one.
+    rows = t.events.withColumn("ts", F.col("ts").cast("timestamp")).select("ts", "event_type", "value", "event_id")
+    rows.repartition(4, "event_id").drop("event_id").write.parquet(f"{base}/in")
+    stream = t.spark.readStream.schema(rows.drop("event_id").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    usage.upsert_lookback(stream, f"{base}/out", f"{base}/state", ts="ts", kind="event_type", value="value", days=7, late="400 days").awaitTermination()
+    report = usage.read_lookback(t.spark, f"{base}/out")
+    return report.withColumns({"day": F.date_format("day", "yyyy-MM-dd"), "mean": r(F.col("mean"), 6)})
