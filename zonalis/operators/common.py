@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.session import materialise
-
 
 def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
     """Add the columns of a one-row DataFrame to every row as a scalar subquery;
@@ -25,7 +23,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     A key with more than hot_rows left rows is cut into as many salts as it holds
     that many; its right rows are repeated once per salt.  `spread` are left
     columns whose hash picks the salt.  The table of hot keys has at most
-    rows / hot_rows entries.
+    rows / hot_rows entries; it is part of the plan, and without any Spark drops its joins.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins can split the left side")
@@ -35,9 +33,6 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
         left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > hot_rows)
         .select(*keys, F.ceil(F.col("_c") / hot_rows).cast("int").alias("_salts"))
     )
-    hot = materialise(hot, "hot")  # both sides read it; it is counted once
-    if hot.isEmpty():
-        return left.join(right, keys, how)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     one = left.join(F.broadcast(hot), keys, "left")
     one = one.withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int")).drop("_salts")

@@ -61,7 +61,8 @@ def resolve_conflicts(df: DataFrame, key: Sequence[str], field: str, *, source:
                       min_sources: int = 3, share: float = 0.7, power: float = 2.0) -> DataFrame:
     """(key, field, resolved, confidence, strategy, sources) per conflicting field.
 
-    Equal qualities, times or priorities fall to the first source by name.
+    Equal qualities, times or priorities fall to the first source by name, then to the
+    least value; equally common values to the shorter, then to the least.
     """
     ident = [*key, field]
     rows = df.filter(F.col(value).isNotNull())
@@ -78,11 +79,11 @@ def resolve_conflicts(df: DataFrame, key: Sequence[str], field: str, *, source:
     v = F.col(value)
     g = per_value.groupBy(*ident).agg(
         F.sum("_k").alias("sources"),
-        F.min_by(v, "_best").alias("_by_quality"), (-F.min("_best")["q"]).alias("_top_quality"),
-        F.min_by(v, "_newest").alias("_by_time"), (-F.min("_newest")["t"]).alias("_newest_us"),
-        F.min_by(v, "_first").alias("_by_priority"), (F.sum("_sq") / F.sum("_k")).alias("_mean_quality"),
+        F.min_by(v, F.struct("_best", v)).alias("_by_quality"), (-F.min("_best")["q"]).alias("_top_quality"),
+        F.min_by(v, F.struct("_newest", v)).alias("_by_time"), (-F.min("_newest")["t"]).alias("_newest_us"),
+        F.min_by(v, F.struct("_first", v)).alias("_by_priority"), (F.sum("_sq") / F.sum("_k")).alias("_mean_quality"),
         F.bool_and(number.isNotNull()).alias("_numeric"), F.try_divide(F.sum("_vw"), F.sum("_w")).alias("_weighted"),
-        F.max("_k").alias("_most"), F.max_by(v, F.struct("_k", (-F.length(v)).alias("l"))).alias("_common"))
+        F.max("_k").alias("_most"), F.min_by(v, F.struct((-F.col("_k")).alias("k"), F.length(v).alias("l"), v)).alias("_common"))
     s = strategy if strategy is not None else strategy_for(F.col(field))
     age = F.floor((F.unix_micros(F.lit(as_of).cast("timestamp")) - F.col("_newest_us")) / 86_400_000_000)
     agreed = (F.col("sources") >= min_sources) & (F.col("_most") / F.col("sources") >= share)
@@ -107,7 +108,7 @@ def best_value_per_field(df: DataFrame, key: Sequence[str], field: str, source:
     """
     ident = [*key, field]
     per_source = df.filter(F.col(value).isNotNull()).groupBy(*ident, source).agg(
-        F.max_by(value, quality).alias("_v"), F.max(quality).alias("_q"))
+        F.min_by(value, F.struct((-F.col(quality)).alias("q"), F.col(value))).alias("_v"), F.max(quality).alias("_q"))
     g = per_source.groupBy(*ident).agg(
         F.min_by(F.struct(F.col("_v").alias("value"), F.col(source).alias("selected_source"), F.col("_q").alias("confidence")),
                  F.struct((-F.col("_q")).alias("q"), F.col(source))).alias("_b"),

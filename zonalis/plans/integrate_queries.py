@@ -178,7 +178,7 @@ def versions(t):
 
 @query("conflicts_by_field_strategy", "2.12-02", "2.12-05", "2.12-06", "2.12-08", sql=with_sql(_LONG, """
 c AS (SELECT area, field, value, count(*) AS k FROM v GROUP BY 1, 2, 3),
-m AS (SELECT area, field, max(k) AS k, arg_max(value, row(k, -length(value))) AS common FROM c GROUP BY 1, 2),
+m AS (SELECT area, field, max(k) AS k, arg_min(value, row(-k, length(value), value)) AS common FROM c GROUP BY 1, 2),
 g AS (SELECT area, field, count(*) AS n, arg_min(value, row(-quality, source)) AS best, max(quality) AS q, avg(quality) AS mq,
    sum(try_cast(value AS DOUBLE) * quality * quality) / sum(quality * quality) AS w FROM v GROUP BY 1, 2)""") + """
 SELECT area, field, n AS sources, CASE field WHEN 'unemployment_rate' THEN 'weighted_average' WHEN 'remoteness_category' THEN 'consensus' ELSE 'highest_quality' END AS strategy,
@@ -194,13 +194,13 @@ def _(t):
 
 
 @query("conflicts_by_recency", "2.12-03", "2.12-07", sql=with_sql(_LONG) + """
-SELECT area, field, arg_min(value, row(-epoch_us(ts), source)) AS resolved, round(greatest(0.5, 1 - date_diff('day', max(ts), TIMESTAMP '2002-01-01') / 365.0), 8) AS confidence, NULL::VARCHAR AS manual
+SELECT area, field, CASE field WHEN 'median_age' THEN 'manual' ELSE 'most_recent' END AS strategy, CASE WHEN field <> 'median_age' THEN arg_min(value, row(-epoch_us(ts), source, value)) END AS resolved,
+  CASE field WHEN 'median_age' THEN 0.0 ELSE round(greatest(0.5, 1 - date_diff('day', max(ts), TIMESTAMP '2002-01-01') / 365.0), 8) END AS confidence
 FROM v GROUP BY 1, 2""")
 def _(t):
-    d = N.resolve_conflicts(versions(t), ["area"], "field", as_of="2002-01-01", strategy=F.lit("most_recent"))
-    m = N.resolve_conflicts(versions(t), ["area"], "field", as_of="2002-01-01", strategy=F.lit("manual"))
-    return d.join(m.select("area", "field", F.col("resolved").alias("manual")), ["area", "field"]).select(
-        "area", "field", "resolved", r(F.col("confidence")).alias("confidence"), "manual")
+    way = F.when(F.col("field") == "median_age", "manual").otherwise("most_recent")
+    d = N.resolve_conflicts(versions(t), ["area"], "field", as_of="2002-01-01", strategy=way)
+    return d.select("area", "field", "strategy", "resolved", r(F.col("confidence")).alias("confidence"))
 
 
 @query("conflicts_by_priority", "2.12-04", sql=with_sql(_LONG) + """

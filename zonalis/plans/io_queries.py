@@ -224,6 +224,18 @@ def _(t):
         "state_code").agg(F.count(F.lit(1)).alias("n"), F.sum("area_id").alias("ids"))
 
 
+@query("export_as_measured", "2.2-09", sql=with_sql(AREAS, """
+o AS (SELECT o_orderkey, state_code FROM orders JOIN areas ON o_custkey = area_id), w AS (SELECT CASE WHEN count(*) > 10000 THEN 'column' ELSE 'none' END AS type FROM o)""") + """
+SELECT type, state_code, count(*) AS n, sum(o_orderkey)::BIGINT AS ids FROM o, w GROUP BY 1, 2""")
+def _(t):
+    path = scratch(t, "measured")
+    d = t.orders.join(areas(t).select("area_id", "sa2_code", "state_code"), F.col("o_custkey") == F.col("area_id")).select("o_orderkey", "sa2_code", "state_code")
+    choice = K.measured_choice(d)
+    K.write_partitioned(d, path, choice)
+    back = t.spark.read.schema("o_orderkey long, sa2_code string, state_code string").parquet(path)
+    return back.groupBy("state_code").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("ids")).withColumn("type", F.lit(choice["type"]))
+
+
 @query("export_by_month", "2.2-06", sql="SELECT strftime(o_orderdate, '%Y-%m') AS period, count(*) AS n FROM orders GROUP BY 1")
 def _(t):
     path = scratch(t, "bymonth")
