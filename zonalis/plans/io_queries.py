@@ -12,7 +12,7 @@ from zonalis.plans.frames import AREAS, areas, r, with_sql
 from zonalis.plans.registry import query
 from zonalis.session import scratch_path
 from zonalis.sinks import writers as K
-from zonalis.sources import delimited, documents, records, tables
+from zonalis.sources import archives, delimited, documents, records, tables
 
 
 def scratch(t, label):
@@ -124,6 +124,22 @@ def _(t):
     return c.select("geographic_id", "total_population", "male_population", "median_age")
 
 
+@query("zip_members", "2.1-06", "2.1-10", sql=with_sql(AREAS) + """
+SELECT sa2_code AS geographic_id, area_id AS total_population, CASE WHEN balance >= 0 THEN balance END AS median_age, 'G01_' || state_code || '.csv' AS member FROM areas""")
+def _(t):
+    """Seven archives with a member per state, read a member a task."""
+    path = scratch(t, "zips")
+    age = F.when(F.col("balance") < 0, "NA").otherwise(F.format_string("%.2f", "balance"))
+    lines = areas(t).select(F.format_string("part%d", F.col("area_id") % 7).alias("archive"), F.concat(F.lit("G01_"), "state_code", F.lit(".csv")).alias("member"),
+                            F.concat_ws(",", "sa2_code", "area_id", age).alias("line"))
+    names = ["SA2_CODE_2021", "Tot_P_P", "Median_age_persons"]
+    archives.write_zips(lines, path, heads={f"G01_{i}.csv": ",".join(names) for i in range(1, 6)})
+    rows = documents.zip_csv(archives.read_zip_lines(t.spark, path), names)
+    members = rows.select(F.col("SA2_CODE_2021").alias("geographic_id"), "member")
+    c = records.census_records(rows, 2021).select("geographic_id", "total_population", "median_age")
+    return c.join(members, "geographic_id")
+
+
 _RING = "[[lon, lat], [lon + 0.5, lat], [lon + 0.5, lat + 0.5], [lon, lat]]"
 
 

@@ -44,16 +44,18 @@ def read_csv_after_preamble(spark: SparkSession, path: str, columns: Sequence[st
     headers = lines.groupBy("_file").agg(
         F.min(at).alias("_first"), F.min(F.when(is_header, at)).alias("_at"),
         F.min_by("value", F.when(is_header, at)).alias("_header"))
-    headers = headers.filter(F.col("_at") > F.col("_first"))
-    body = lines.join(headers, "_file").filter(at > F.col("_at")).filter(F.trim("value") != "")
+
     def unquoted(text):
         cells = F.split(text, _COMMA, -1)
         return F.transform(cells, lambda c: F.regexp_replace(F.regexp_replace(F.trim(c), r'^"|"$', ""), '""', '"'))
 
-    packed = body.select("_file", unquoted("_header").alias("_names"), unquoted("value").alias("_cells"))
-    picked = [F.get(F.col("_cells"), F.array_position("_names", F.lit(c)).cast("int") - 1) for c in columns]
-    known = [F.when(F.array_contains("_names", c), p).alias(c) for c, p in zip(columns, picked)]
-    out = packed.select("_file", *known)
+    # A header is split once, in its file's row: what lines take from it is where each column stands, -1 if nowhere.
+    named = headers.filter(F.col("_at") > F.col("_first")).withColumn("_names", unquoted("_header"))
+    headers = named.select("_file", "_at", F.array(*[F.array_position("_names", F.lit(c)).cast("int") - 1 for c in columns]).alias("_places"))
+    body = lines.join(headers, "_file").filter(at > F.col("_at")).filter(F.trim("value") != "")
+    packed = body.select("_file", "_places", unquoted("value").alias("_cells"))
+    places = [F.get("_places", F.lit(i)) for i in range(len(columns))]
+    out = packed.select("_file", *[F.when(p >= 0, F.get("_cells", p)).alias(c) for c, p in zip(columns, places)])
     if start:
         out = out.filter(F.col(date_column).isNull() | (F.col(date_column) >= start))
     if end:
