@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = range(1, 7)
 _NOTHING: dict = {}
