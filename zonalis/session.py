@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +27,14 @@ def build_session(app: str = "zonalis", master: str | None = None, **conf) -> Sp
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by spark.checkpoint.dir.
 
-    A machine-local folder is used only by a local-mode session that names none.
+    A local session that names none uses a folder in its warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="zonalis-")
+    local = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
