@@ -68,3 +68,10 @@ def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert product_quantiser.embedding_components(none).count() == 0
     assert threshold_search.top_products(threshold_search.quantised(none), threshold_search.quantised(none)).count() == 0
+
+
+def test_vectors_of_many_lengths(spark):
+    """Every length is searched, and copies of a vector that has its length alone are linked."""
+    rows = [(100 * n + i, [float(n)] * n + [0.01 * i], 1, "c", "v") for n in range(1, 9) for i in range(3)] + [(5_000, [1.0] * 40, 1, "c", "v"), (5_001, [1.0] * 40, 1, "c", "v")]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in product_quantiser.embedding_components(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {**{100 * n + i: (2, 100 * n) for n in range(1, 9) for i in range(3)}, 5_000: (1, 5_000), 5_001: (1, 5_000)}

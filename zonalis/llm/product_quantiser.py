@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from zonalis.llm.components import connected
 from zonalis.llm.vectors import finite, matrix
-from zonalis.session import materialise
+from zonalis.session import materialise, scratch_path
 
 SAMPLE = 8_192  # vectors that centres and codes are fitted on, at most
 LISTS, SUBSPACES, CODES, ITERATIONS = 64, 8, 64, 8
@@ -133,16 +133,18 @@ def embedding_components(rows: DataFrame, *, row_id: str = "vec_id", vector: str
     same = materialise(counted.join(heads.select("_d", F.col("label").alias("_l"), F.col("v").alias("_v"), F.col("id").alias("head"), "copies"), "_d")
                        .filter((F.col("label") == F.col("_l")) & (F.col("v") == F.col("_v"))).select("id", "head", "copies", "_d"), "copies")
 
-    links = None
-    for dims in sorted(r[0] for r in heads.select(F.size("v")).distinct().limit(1_000).collect()):
+    # Every length is a search of its own; a length that one vector alone has needs none.
+    out, made = scratch_path(spark, "links"), 0
+    lengths = heads.groupBy(F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    for dims, _ in lengths.orderBy("dims").toLocalIterator():
         own = heads.filter(F.size("v") == dims)
         fitted = np.array([r[0] for r in own.select("v").orderBy(F.xxhash64("id", "v"), "id").limit(sample).collect()])
         centres, books = fit(_unit(fitted), lists, subspaces, codes)
-        found = _links(own, dims, spark.sparkContext.broadcast((centres, books)), threshold, block)
-        links = found if links is None else links.unionAll(found)
-    if links is None:
-        links = spark.createDataFrame([], "a long, b long, n long")
-    links = materialise(links, "links")
+        _links(own, dims, spark.sparkContext.broadcast((centres, books)), threshold, block).write.parquet(f"{out}/length={made}")
+        made += 1
+    # Copies of one vector are counted below; they need no search.
+    schema = "a long, b long, n long"
+    links = spark.read.schema(schema).parquet(*[f"{out}/length={i}" for i in range(made)]) if made else spark.createDataFrame([], schema)
     counts = links.groupBy(F.col("a").alias("head")).agg(F.sum("n").alias("n"))
     edges = links.filter(F.col("b").isNotNull()).select("a", "b").unionAll(same.select(F.col("id").alias("a"), F.col("head").alias("b")))
     groups = connected(edges).select(F.col("node").alias("id"), "component")
