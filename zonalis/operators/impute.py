@@ -62,14 +62,30 @@ def mode_stats(df: DataFrame, columns: Sequence[str], levels: Sequence[str | Non
     return rolled.groupBy(*_at(levels)).agg(F.min_by("_value", F.struct((-F.col("_c")).alias("n"), F.col("_value"))).alias("_stat"))
 
 
-def weighted_median_stats(df: DataFrame, columns: Sequence[str], weight: str, levels: Sequence[str | None], **kw) -> DataFrame:
-    """First value whose running weight passes half of the total; zero weights count as one."""
+def _weighted_cells(df: DataFrame, columns: Sequence[str], weight: str, group: Sequence[str]) -> DataFrame:
+    """Values with their weights `_w`; zero weights count as one."""
     base = df.withColumn("_w", F.when(F.coalesce(F.col(weight), F.lit(0)) == 0, 1.0)
                          .otherwise(F.col(weight).cast("double")))
-    rolled = _rolled_up(long_form(base, columns, [*[c for c in levels if c], "_w"]), levels, F.sum("_w"))
-    runs = value_runs(rolled, "_value", _at(levels), weight="_c", **kw)
+    return long_form(base, columns, [*group, "_w"])
+
+
+def _past_half(runs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """First value whose running weight passes half of the total."""
     past_half = F.col("_cum") > F.col("_total") / 2
-    return runs.groupBy(*_at(levels)).agg(F.coalesce(F.min(F.when(past_half, F.col("_value"))), F.max("_value")).alias("_stat"))
+    return runs.groupBy(*by).agg(F.coalesce(F.min(F.when(past_half, F.col("_value"))), F.max("_value")).alias("_stat"))
+
+
+def weighted_median_stats(df: DataFrame, columns: Sequence[str], weight: str, levels: Sequence[str | None], **kw) -> DataFrame:
+    """Weighted medians of all levels from one sort of the added weights."""
+    rolled = _rolled_up(_weighted_cells(df, columns, weight, [c for c in levels if c]), levels, F.sum("_w"))
+    return _past_half(value_runs(rolled, "_value", _at(levels), weight="_c", **kw), _at(levels))
+
+
+def weighted_median_table(df: DataFrame, columns: Sequence[str], weight: str, group: Sequence[str], suffix: str, **kw) -> DataFrame:
+    """A column per weighted median and a row per group."""
+    by = [_KEY, *group]
+    stat = _past_half(value_runs(_weighted_cells(df, columns, weight, group), "_value", by, weight="_w", **kw), by)
+    return stat.groupBy(*group).agg(*[F.max(F.when(F.col(_KEY) == c, F.col("_stat"))).alias(f"{c}{suffix}") for c in columns])
 
 
 def _ladder(df, columns, levels, stats, last_resort):
