@@ -358,3 +358,17 @@ def test_copies_are_no_evidence_but_recurring_sentences_are(spark):
     labels = spark.createDataFrame([(i, int(i % 2)) for i in range(200)] + [(1_000 + i, 1) for i in range(100)], "doc_id long, toxic int")
     model = sentence_toxicity.train(frame, labels)
     assert model.weights.get("snarf", 0) > 0 and "zebra" not in model.weights
+
+
+def test_very_long_lines(spark):
+    """A line of 40,000 characters and its near copy are one group, an unlike one of its length is another."""
+    import random
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9)))
+    long = " ".join(word() for _ in range(7_300))[:40_000]
+    near = "".join(c if i % 50 else "q" for i, c in enumerate(long))
+    other = " ".join(word() for _ in range(7_300))[:40_000]
+    docs = spark.createDataFrame([(1, long), (2, f"a short line of its own\n{near}"), (3, other)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in fuzzy_lines.dedup_lines(docs).collect()}
+    assert got == {1: (1, 0), 2: (2, 1), 3: (1, 0)}
