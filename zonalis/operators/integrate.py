@@ -36,6 +36,7 @@ MANDATORY_FIELDS = [
 ]
 KEY_INDICATORS = ["life_expectancy", "gp_services_per_1000", "bulk_billing_rate", "total_population",
                   "median_age", "seifa_scores", "boundary_data"]
+# Names of the strategies.
 STRATEGIES = ("highest_quality", "most_recent", "source_priority", "weighted_average", "consensus", "manual")
 
 
@@ -161,7 +162,7 @@ def required_quality(field: Column) -> Column:
             .when(field.contains("prevalence"), 0.85).otherwise(0.80))
 
 
-# Rules as Column conditions: (name, source fields, condition, priority).
+# Rules as Column conditions, (name, source fields, condition, priority).
 INTEGRATION_RULES = [
     ("population_validation", ["total_population", "male_population", "female_population"],
      lambda: F.abs(F.col("total_population") - (F.col("male_population") + F.col("female_population"))) < 10, 200),

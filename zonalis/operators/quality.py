@@ -147,6 +147,7 @@ def census_warning_counts(df: DataFrame) -> DataFrame:
     for name in ("employed_full_time", "employed_part_time", "unemployed", "not_in_labour_force", "separate_house", "rented", "owned_outright"):
         if name in have:
             rules.append(Rule(f"{name}_negative", WARNING, name, c(name) < 0))
+    # Least and most of rates that pass without a warning.
     limits = {"unemployment_rate": (None, 25), "participation_rate": (30, 95), "home_ownership_rate": (20, 95),
               "internet_penetration_rate": (50, 99), "separate_house_pct": (None, 98), "no_vehicle_rate": (5, 70), "estimated_avg_vehicles": (None, 3)}
     for name, (lo, hi) in limits.items():
@@ -469,6 +470,7 @@ def health_stage(df: DataFrame) -> dict[str, Column]:
         v = F.map_values(c)
         return F.when(F.size(v) > 0, F.size(F.filter(v, lambda x: x.between(0, hi))) / F.size(v))
 
+    # The plausible life expectancy and what others count; most of an indicator's values above.
     life = F.when(F.col("life_expectancy") != 0, F.when(F.col("life_expectancy").between(70, 90), 1.0).otherwise(0.5))
     overall = mean_of_available([life, share("mortality_indicators", 5000), share("chronic_disease_prevalence", 100)], default=0.0)
     return {"health_data_completeness": row_sum([filled(c) for c in fields]) / len(fields) * 100, "health_overall_quality_score": overall}
@@ -485,6 +487,7 @@ def demographic_stage(columns: Sequence[str], age_columns: Sequence[str], indice
     ages = F.least(F.lit(1.0), row_sum([(F.col(c) >= 0).cast("int") for c in age_columns if c in columns]) / 6.0)
     parts = {"population": share(people), "age_distribution": ages, "seifa": share(scores), "geographic": share(["sa2_code", "sa2_name", "boundary_data"])}
     total = F.col("total_population")
+    # Five people or 0.5 % apart are close, six age columns are complete.
     close = F.abs(total - (F.col("male_population") + F.col("female_population"))) <= F.greatest(F.lit(5.0), total * 0.005)
     full = F.lit(True)
     for i in indices:
@@ -502,6 +505,7 @@ def geographic_stage(code: str, sa3: str, sa4: str, state: str, lon: str, lat: s
     def share(cols):
         return row_sum([F.col(c).isNotNull().cast("int") for c in cols]) / len(cols)
 
+    # Twelve decimal places are full accuracy, areas from 0.1 to 10000 square km are plausible.
     complete = (share([sa3, sa4, state]) + share([lat, lon, area]) + geometry.isNotNull().cast("int") + share(classes)) / 4
     digits = codes.decimal_places(F.col(lat)) + codes.decimal_places(F.col(lon))
     coordinates = F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), F.least(F.lit(1.0), digits / 12)).otherwise(0.0)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonalis.functions import codes
 from zonalis.operators import census as C
 from zonalis.operators import quality as Q
 from zonalis.operators import sets as S
@@ -202,14 +203,21 @@ def _(t):
                     F.array_join(q["demographic_quality_flags"], ",").alias("flags"))
 
 
-@query("geographic_stage_quality", "2.14-17", sql=with_sql(AREAS) + """
-SELECT area_id, round((1 + (2 + (score IS NOT NULL)::INT) / 3.0 + 0 + 0.5) / 4, 8) AS geographic_completeness,
-  'complete_hierarchy' AS flags, CASE WHEN score IS NULL THEN 0.0 WHEN score BETWEEN 0.1 AND 10000 THEN 1.0 ELSE 0.5 END AS area_part FROM areas""")
+_PLACES = "greatest(length(regexp_extract(rtrim(printf('%.12f', {0}), '0'), '[.]([0-9]*)', 1)), 1)"
+
+
+@query("geographic_stage_quality", "2.14-17", sql=with_sql(AREAS, f"""
+p AS (SELECT *, (1 + (2 + (score IS NOT NULL)::INT) / 3.0 + 0 + 0.5) / 4 AS complete, CASE WHEN score IS NULL THEN 0.0 WHEN score BETWEEN 0.1 AND 10000 THEN 1.0 ELSE 0.5 END AS size,
+  least(1, ({_PLACES.format('round(lat, 2)')} + {_PLACES.format('lon')}) / 12.0) AS coordinates, CASE WHEN area_id % 2 = 0 THEN 1.0 ELSE 2 / 3.0 END AS chain FROM areas)""") + """
+SELECT area_id, round(complete, 8) AS geographic_completeness, round((coordinates + size + chain) / 3, 8) AS geographic_accuracy,
+  round((complete + (coordinates + size + chain) / 3) / 2, 8) AS geographic_overall_quality, 'complete_hierarchy' AS flags FROM p""")
 def _(t):
-    d = areas(t).withColumns({"lat": F.round("lat", 2), "remote": F.lit(None).cast("string")})
-    q = Q.geographic_stage("sa2_code", "sa3_code", "sa4_code", "state_code", "lon", "lat", "score", F.lit(None), ["segment", "remote"])
-    part = F.when(F.col("score").between(0.1, 10000), 1.0).when(F.col("score").isNotNull(), 0.5).otherwise(0.0)
-    return d.select("area_id", r(q["geographic_completeness"]).alias("geographic_completeness"), F.array_join(q["geographic_quality_flags"], ",").alias("flags"), part.alias("area_part"))
+    # Every other area carries its state's number where its name belongs: a break in the chain.
+    named = F.when(F.col("area_id") % 2 == 0, codes.state_of_code(F.col("sa2_code"))).otherwise(F.col("state_code"))
+    d = areas(t).withColumns({"lat": F.round("lat", 2), "remote": F.lit(None).cast("string"), "named": named})
+    q = Q.geographic_stage("sa2_code", "sa3_code", "sa4_code", "named", "lon", "lat", "score", F.lit(None), ["segment", "remote"])
+    parts = [r(q[f"geographic_{n}"]).alias(f"geographic_{n}") for n in ("completeness", "accuracy", "overall_quality")]
+    return d.select("area_id", *parts, F.array_join(q["geographic_quality_flags"], ",").alias("flags"))
 
 
 _GATE = with_sql(AREAS, "b AS (SELECT count(*) AS rows, count(*) FILTER (WHERE balance < 0 OR balance > 9900) AS a, count(*) FILTER (WHERE score IS NULL) AS c, count(score) AS k FROM areas)")
