@@ -175,17 +175,13 @@ def carried_value(
     known = F.when(F.col(value).isNotNull(), F.col(POS))
     pick = F.min_by(value, known) if backward else F.max_by(value, known)
     edges = edge_totals(slices, group, v=pick)
-    run = Window.partitionBy("_g").orderBy(SLICE)
-    if backward:
-        carried = F.first("v", True).over(run.rowsBetween(1, Window.unboundedFollowing))
-    else:
-        carried = F.last("v", True).over(run.rowsBetween(Window.unboundedPreceding, -1))
-    s = with_edges(slices, edges.select(SLICE, "_g", carried.alias("_carry")), group)
-    w = Window.partitionBy(SLICE, *group).orderBy(POS)
-    if backward:
-        here = F.first(value, True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    else:
-        here = F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # Backward is forward over the reversed order: Spark starts a frame that is open
+    # at its end anew for every row, so its time would grow with a slice's square.
+    slice_order, row_order = (F.desc(SLICE), F.desc(POS)) if backward else (F.asc(SLICE), F.asc(POS))
+    run = Window.partitionBy("_g").orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
+    s = with_edges(slices, edges.select(SLICE, "_g", F.last("v", True).over(run).alias("_carry")), group)
+    w = Window.partitionBy(SLICE, *group).orderBy(row_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = F.last(value, True).over(w)
     return s.withColumn(out, F.coalesce(here, F.col("_carry"))).drop(SLICE, POS, "_g", "_carry")
 
 
@@ -200,17 +196,15 @@ def neighbours(
     def known(position: Column) -> Column:
         return F.when(F.col(value).isNotNull(), F.struct(position.alias("p"), F.col(value).cast("double").alias("v")))
 
-    def both(w):
-        past = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return F.last("_known", True).over(past), F.first("_known", True).over(w.rowsBetween(0, Window.unboundedFollowing))
-
     slices = sorted_slices(df, group, order)
     at = F.when(F.col(value).isNotNull(), F.col(POS))
     edges = edge_totals(
         slices, group, cnt=F.count(F.lit(1)), low=F.min(POS),
         firstk=F.min_by(known(F.col(POS)), at), lastk=F.max_by(known(F.col(POS)), at))
-    run = Window.partitionBy("_g").orderBy(SLICE)
-    earlier, later = run.rowsBetween(Window.unboundedPreceding, -1), run.rowsBetween(1, Window.unboundedFollowing)
+    # What follows is read in reversed order, as in carried_value.
+    run = Window.partitionBy("_g")
+    earlier = run.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    later = run.orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.withColumn("_before", F.coalesce(F.sum("cnt").over(earlier), F.lit(0)))
 
     def in_group(c: str) -> Column:
@@ -218,10 +212,12 @@ def neighbours(
         return F.when(F.col(c).isNotNull(), moved)
 
     edges = edges.withColumns({"firstk": in_group("firstk"), "lastk": in_group("lastk")}).select(
-        SLICE, "_g", "_before", F.last("lastk", True).over(earlier).alias("_pc"), F.first("firstk", True).over(later).alias("_nc"))
-    w = Window.partitionBy(SLICE, *group).orderBy(POS)
+        SLICE, "_g", "_before", F.last("lastk", True).over(earlier).alias("_pc"), F.last("firstk", True).over(later).alias("_nc"))
+    here = Window.partitionBy(SLICE, *group)
+    w = here.orderBy(POS)
     s = with_edges(slices, edges, group)
     s = s.withColumn("_rn", F.coalesce("_before", F.lit(0)) + F.row_number().over(w)).withColumn("_known", known(F.col("_rn")))
-    prev, following = both(w)
+    prev = F.last("_known", True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    following = F.last("_known", True).over(here.orderBy(F.desc(POS)).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return s.withColumns({"_prev": F.coalesce(prev, "_pc"), "_next": F.coalesce(following, "_nc")}).drop(
         SLICE, POS, "_g", "_before", "_pc", "_nc", "_known")
