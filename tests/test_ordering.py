@@ -3,9 +3,12 @@
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import SMALL
 
 from zonalis.operators import impute, ordering, ranking
 from zonalis.operators.common import salted_join
+from zonalis.plans.catalogue import all_queries
+from zonalis.plans.registry import runner
 
 
 @pytest.fixture(scope="module")
@@ -103,3 +106,9 @@ def test_no_frame_is_open_at_its_end(frame):
     for d in (ordering.carried_value(frame, "v", ["id"], ["k"], backward=True), ordering.neighbours(frame, "v", ["id"], ["k"])):
         plan = d._jdf.queryExecution().optimizedPlan().toString()
         assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+
+
+@pytest.mark.parametrize("name", ["missing_carried", "missing_interpolated"])
+def test_queries_have_no_frame_open_at_its_end(spark, name):
+    plan = runner(all_queries()[name])(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
