@@ -5,10 +5,11 @@ import math
 import zipfile
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from zonalis.functions import codes, geo, ratios
-from zonalis.operators import census, geometry, impute, indicators, integrate, joins, quality, spatial, stats, temporal
+from zonalis.operators import aggregates, census, geometry, impute, indicators, integrate, joins, quality, spatial, stats, temporal
 from zonalis.plans.catalogue import all_queries
 from zonalis.plans.registry import runner
 from zonalis.session import scratch_path
@@ -305,3 +306,18 @@ def test_nearest_station_in_a_crowded_city(split):
         return 2 * math.asin(math.sqrt(h))
 
     assert got == {p[0]: min(st, key=lambda q: (km(p, q), q[0]))[0] for p in pts}
+
+
+def test_coverage_totals_are_those_of_all_rows(spark):
+    d = spark.createDataFrame([("a", "N", 40.0, 1), ("b", "N", 50.0, 9), ("c", "S", 20.0, 1)], "area string, state string, people double, score int")
+    states = spark.createDataFrame([("N",), ("S",), ("W",)], "state string")
+    kw = {"expected_population": 110, "expected_areas": 3}
+    row = aggregates.coverage_totals(d, "area", "state", "people", states, covered=F.col("score") > 5, **kw).first()
+    assert (row.population, row.areas, row.missing_states, row.population_ok, row.areas_ok) == (110.0, 3, 2, True, True)
+    assert aggregates.coverage_totals(d, "area", "state", "people", states, **kw).first().missing_states == 1
+
+
+def test_coverage_query_totals_all_customers(spark):
+    found = runner(all_queries()["coverage_totals"])(spark, SMALL).first()
+    whole = spark.read.parquet(f"{SMALL}/customer.parquet").agg(F.round(F.sum("c_acctbal"), 2).alias("s"), F.count("c_custkey").alias("n")).first()
+    assert (found.population, found.areas) == (whole.s, whole.n)

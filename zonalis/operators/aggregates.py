@@ -244,10 +244,12 @@ def query_patterns(df: DataFrame, text: str, duration: str) -> DataFrame:
 
 
 def coverage_totals(df: DataFrame, area: str, state: str, population: str, states: DataFrame, *,
-                    expected_population: float, expected_areas: int) -> DataFrame:
-    """Population within 10 %, area count within 5 %, and number of states without rows."""
+                    expected_population: float, expected_areas: int, covered: Column | None = None) -> DataFrame:
+    """Population within 10 %, area count within 5 %, and number of states without rows
+    (with `covered`, without rows for which it holds); the totals are those of all rows."""
     t = df.agg(F.sum(population).alias("population"), F.count_distinct(area).alias("areas"))
-    missing = states.join(df.select(state).distinct(), state, "left_anti").agg(count_rows().alias("missing_states"))
+    there = df if covered is None else df.filter(covered)
+    missing = states.join(there.select(state).distinct(), state, "left_anti").agg(count_rows().alias("missing_states"))
     t = attach_row(t, missing)
     return t.withColumn("population_ok", F.abs(F.col("population") / expected_population - 1) <= 0.10).withColumn(
         "areas_ok", F.abs(F.col("areas") / expected_areas - 1) <= 0.05)
