@@ -288,6 +288,18 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 HARD = ["", "  ", " a  b   c ", "\x00x\n\n\t y", "ééé😀ﬁ①", "x" * 300, "   " * 50 + "aaaaaaaaaabababab", "1234567890 $$$$ ========", "Thinonat, thes. Ölung ñoña"]
 
 
+def test_parts_of_stretches_are_solved_once_and_as_merging_does():
+    machine = piece_transducer.Transducer(*piece_transducer.read_model("/opt/tokenizers/piece_bpe_32k.model").plain())
+    solved, whole = [], machine.path
+    machine.path = lambda part: solved.append(part) or whole(part)
+    machine.coded("Haus, Haus. Haus; Haus")
+    assert sorted(solved) == sorted({",", ".", ";", "▁Haus"})
+    letters = "aenrstichuüßé1,."
+    for seed in range(400):
+        text = "".join(letters[zlib.crc32(f"{seed}-{i}".encode()) % len(letters)] for i in range(seed % 23 + 1))
+        assert whole(text) == machine.merged(text)
+
+
 def test_pieces_match_the_library(spark):
     import sentencepiece
 

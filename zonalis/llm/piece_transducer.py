@@ -152,10 +152,43 @@ class Transducer(dict):
 
     def path(self, text: str) -> list[str]:
         """The pieces of the shortest path; characters without a piece stand for themselves."""
-        n, bpe, pairs, trie = len(text), self.bpe, self.pairs, self.trie
+        last = self._only_paths(text) if self.bpe else self._shortest_paths(text)
+        out, at = [], len(text)
+        while at:
+            out.append(last[at])
+            at -= len(last[at])
+        return out[::-1]
+
+    def _only_paths(self, text: str) -> list[str]:
+        """The last piece of the shortest path to the places of a byte-pair model's text.  One path is left
+        to each, so none needs weighing: the arc that leads farthest is tried first, until the end is reached."""
+        n, pairs, trie = len(text), self.pairs, self.trie
+        last, arcs, at, before = [""] * (n + 1), [], 0, ""
+        while at < n:
+            first = text[at]
+            arcs.append((before, first, at + 1))
+            node = trie.get(first, _NOTHING)
+            for end in range(at + 1, n):
+                node = node.get(text[end])
+                if node is None:
+                    break
+                if "" in node:
+                    arcs.append((before, node[""][0], end + 1))
+            while True:
+                last_piece, piece, at = arcs.pop()
+                if not last[at]:
+                    free = pairs.get((last_piece, piece))
+                    if self._may_follow(last_piece, piece) if free is None else free:
+                        break
+            last[at] = before = piece
+        return last
+
+    def _shortest_paths(self, text: str) -> list[str]:
+        """The last piece of the shortest path to every place."""
+        n, trie = len(text), self.trie
         cost, last = [0.0] + [float("inf")] * n, [""] * (n + 1)
         for start in range(n):
-            before, paid, node, end = last[start], cost[start], trie, start
+            paid, node, end = cost[start], trie, start
             while end < n:
                 node = node.get(text[end])
                 end += 1
@@ -171,16 +204,8 @@ class Transducer(dict):
                 else:
                     continue
                 if paid + weight < cost[end]:
-                    if bpe:
-                        free = pairs.get((before, piece))
-                        if not (self._may_follow(before, piece) if free is None else free):
-                            continue
                     cost[end], last[end] = paid + weight, piece
-        out, at = [], n
-        while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
+        return last
 
     def numbers(self, pieces: list[str]) -> list[int]:
         out = []
@@ -200,12 +225,12 @@ class Transducer(dict):
             self.clear()
         out = self.older.get(stretch)
         if out is None:
-            inside, at, numbers = self.inside, 0, []
-            for i in range(1, len(stretch) + 1):
-                if i == len(stretch) or stretch[i - 1 : i + 1] not in inside:
-                    numbers += self.numbers(self.path(stretch[at:i]))
-                    at = i
-            out = array("i", numbers).tobytes()
+            inside = self.inside
+            cuts = [i for i in range(1, len(stretch)) if stretch[i - 1 : i + 1] not in inside]
+            if cuts:  # its parts may be known
+                out = b"".join([self[stretch[a:b]] for a, b in zip([0, *cuts], [*cuts, len(stretch)], strict=True)])
+            else:
+                out = array("i", self.numbers(self.path(stretch))).tobytes()
         self[stretch] = out
         return out
 
