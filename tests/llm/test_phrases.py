@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from zonalis.llm import phrase_growth
@@ -86,3 +87,12 @@ def test_words_of_pieces():
 
 def test_no_documents(spark):
     assert phrase_growth.mine_phrases(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_counts_take_little_text_at_once():
+    """A worker's memory is a multiple of the text it counts at once."""
+    text = " ".join(f"w{i % 700}" for i in range(20_000))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 24, "text": [text] * 24})
+    counts = list(phrase_growth._short_counts(iter([batch])))
+    words = [c.column("f")[0].as_py() for c in counts if c.column("words")[0].as_py() == 0]
+    assert sum(words) == 24 * 20_000 and max(words) * len(text) / 20_000 <= 1 << 19

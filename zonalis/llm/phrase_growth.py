@@ -32,6 +32,7 @@ from zonalis.session import materialise
 
 BATCH = 65_536  # nodes opened by a scan, over all languages
 SCALE = 1_000_000
+SHORT_BYTES, LONG_BYTES = 1 << 19, 1 << 20  # of text counted at once, which bounds a worker's memory
 NO_LANG = "und"
 _INK, _BLANK, _CUT = 0, 1, 2
 _CLASS = np.full(256, _INK, np.uint8)
@@ -80,7 +81,7 @@ def words_of(data: np.ndarray, bounds: np.ndarray, langs: pa.Array) -> Words:
     first[cuts] |= ink[cuts]
     last[cuts - 1] |= ink[cuts - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    breaks = np.cumsum(kind == _CUT)
+    breaks = np.cumsum(kind == _CUT, dtype=np.int32)
     text = np.searchsorted(bounds, start, side="right") - 1
     offsets = np.zeros(len(start) + 1, np.int32)
     np.cumsum(end - start, out=offsets[1:])
@@ -93,15 +94,15 @@ def words_of(data: np.ndarray, bounds: np.ndarray, langs: pa.Array) -> Words:
     return Words(number, spelt.dictionary, lang, named.dictionary, joined)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Words]:
     for batch in batches:
-        for rows, data, bounds in chunks(batch):
+        for rows, data, bounds in chunks(batch, size=size):
             yield words_of(data, bounds, rows.column(rows.schema.get_field_index("lang")))
 
 
 def _short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words, pairs, and (with an empty phrase) all occurrences of words, by language."""
-    for w in _chunks(batches):
+    for w in _chunks(batches, SHORT_BYTES):
         n = len(w.names)
         all_words = np.bincount(w.lang, minlength=len(w.langs))
         yield pa.RecordBatch.from_arrays(
@@ -116,7 +117,7 @@ def _short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _long_counts(batches: Iterator[pa.RecordBatch], opened: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
     """Phrases of three words that begin or end with an opened pair."""
-    for w in _chunks(batches):
+    for w in _chunks(batches, LONG_BYTES):
         at, key = w.pairs()
         _, one, of = np.unique(key, return_index=True, return_inverse=True)
         names, langs = w.phrase(at[one], 2), w.lang[at[one]]

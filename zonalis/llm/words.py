@@ -83,8 +83,8 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Runs of rows of about CHUNK_BYTES of text (one row at least): the rows, their
+def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of rows of about `size` bytes of text (one row at least): the rows, their
     texts' bytes and bounds.  A null text counts as empty."""
     texts = batch.column(batch.schema.get_field_index(column))
     if pa.types.is_large_string(texts.type):
@@ -94,7 +94,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.Rec
     at = 0
     while at < len(batch):
         base = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+        stop = max(at + 1, int(np.searchsorted(ends, base + size, side="right")))
         part = texts.slice(at, stop - at).fill_null("")
         offsets = np.frombuffer(part.buffers()[1], dtype=np.int32)[part.offset : part.offset + len(part) + 1].astype(np.int64)
         raw = part.buffers()[2]
