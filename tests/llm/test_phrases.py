@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from zonalis.llm import phrase_growth
+from zonalis.llm.arrow import batches_of
 
 SCHEMA = "doc_id long, text string, lang string, phrase string, f long, words int, score long, n string"
 
@@ -96,3 +97,26 @@ def test_counts_take_little_text_at_once():
     counts = list(phrase_growth._short_counts(iter([batch])))
     words = [c.column("f")[0].as_py() for c in counts if c.column("words")[0].as_py() == 0]
     assert sum(words) == 24 * 20_000 and max(words) * len(text) / 20_000 <= 1 << 19
+
+
+def test_workers_get_little_text_at_once(spark, monkeypatch):
+    """Both scans send batches of bounded bytes, whatever the rows' number; the setting is put back."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    before, write = spark.conf.get(name), phrase_growth.materialise
+
+    def noted(df, label):
+        seen[label] = spark.conf.get(name)
+        return write(df, label)
+
+    monkeypatch.setattr(phrase_growth, "materialise", noted)
+    docs = spark.createDataFrame([("one two three four " * 5_000, "en")] * 40, "text string, lang string").coalesce(1)
+    assert [r["phrase"] for r in phrase_growth.mine_phrases(docs).collect()]
+    assert seen["short"] == seen["long"] == str(phrase_growth.BATCH_BYTES) and phrase_growth.BATCH_BYTES < 1 << 23 and spark.conf.get(name) == before
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    with batches_of(spark, 1 << 18):
+        got = [r["n"] for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) > 40 * 95_000 and max(got) < (1 << 18) + 200_000

@@ -27,12 +27,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonalis.llm.arrow import batches_of
 from zonalis.llm.words import chunks
 from zonalis.session import materialise
 
 BATCH = 65_536  # nodes opened by a scan, over all languages
 SCALE = 1_000_000
 SHORT_BYTES, LONG_BYTES = 1 << 19, 1 << 20  # of text counted at once, which bounds a worker's memory
+BATCH_BYTES = 4 << 20  # of rows sent to a worker at once
 NO_LANG = "und"
 _INK, _BLANK, _CUT = 0, 1, 2
 _CLASS = np.full(256, _INK, np.uint8)
@@ -189,7 +191,8 @@ def mine_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    short = materialise(_sums(texts.mapInArrow(_short_counts, _COUNTS), least), "short")
+    with batches_of(spark, BATCH_BYTES):
+        short = materialise(_sums(texts.mapInArrow(_short_counts, _COUNTS), least), "short")
     totals = {r["lang"]: r["f"] for r in short.filter("words = 0").select("lang", "f").toLocalIterator()}
     nodes = materialise(_batched(_nodes(short, scale), max(1_024, batch // max(1, len(totals)))), "nodes")
     best = {}  # by language, the best bound of every batch
@@ -204,7 +207,8 @@ def mine_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
         now = F.col("lang").isin(sorted(live)) & (F.col("batch") == step)
         rows = nodes.filter(now).select("lang", "phrase").toArrow()
         members = {x: pc.filter(rows["phrase"], pc.equal(rows["lang"], x)).combine_chunks() for x in live}
-        counted = materialise(_sums(texts.mapInArrow(lambda b, m=members: _long_counts(b, m), _COUNTS), least), "long")
+        with batches_of(spark, BATCH_BYTES):
+            counted = materialise(_sums(texts.mapInArrow(lambda b, m=members: _long_counts(b, m), _COUNTS), least), "long")
         new = materialise(_scored_long(counted, short, scale), "scored")
         found = new if found is None else materialise(found.unionAll(new).distinct(), "scored")
         for x in live:
