@@ -230,6 +230,45 @@ def test_all_similar_lines_are_found(spark):
     assert gone == {i for i, alike in similar.items() if alike}
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcd𝒳é", "abcdefghijklmnopqrstuvwxyz"])
+def test_pieces_lose_no_similar_line(spark, letters):
+    """Without SimHash: as many edits as allowed, even, heaped, in letters whose grams are often alike."""
+    import random
+
+    rng, forms, pairs = random.Random(len(letters)), [], set()
+    for n in [*range(24, 43), 59, 71, 72, 80, 99, 150, 211, 400]:
+        for heap in ("even", "start", "end", "middle", "any"):
+            for kind in ("change", "drop", "put", "mixed"):
+                one = [rng.choice(letters) for _ in range(n)]
+                most = n // 10
+                # A longer line may differ by a tenth of its own length.
+                edits = max(e for e in range(n) if e <= (n + e) // 10) if kind == "put" else most
+                at = {"even": [e * n // edits for e in range(edits)], "start": range(edits), "end": range(n - edits, n),
+                      "middle": range((n - edits) // 2, (n + edits) // 2), "any": sorted(rng.sample(range(n), edits))}[heap]
+                two = list(one)
+                for i in sorted(at, reverse=True):
+                    how = rng.choice(["change", "drop"]) if kind == "mixed" else kind
+                    two[i : i + (how != "put")] = [] if how == "drop" else [rng.choice(letters)]
+                if len(two) >= 24 and one != two:
+                    pairs.add((len(forms), len(forms) + 1))
+                    forms += ["".join(one), "".join(two)]
+    spelling = spark.createDataFrame(list(enumerate(forms)), "id long, form string")
+    got = fuzzy_lines._piece_pairs(spelling, spark.createDataFrame([], "node long, component long"), 0.9)
+    assert len(pairs) > 300 and pairs <= {(r["a"], r["b"]) for r in got.collect()}
+
+
+def test_common_passages_alone_are_no_pairs(spark):
+    """Lines of a length that share a passage at a place, but nothing before or after it, are not compared; and about
+    every other place of a line is a row, not each."""
+    lines = [" ".join([*prose(100 + i, 12), *prose(99, 6), *prose(200 + i, 20)]) for i in range(20)]
+    least = min(map(len, lines))
+    lines = [x[:least] for x in lines] + [lines[0][: least - 4] + "zzzz"]
+    none = spark.createDataFrame([], "node long, component long")
+    spelling = spark.createDataFrame(list(enumerate(lines)), "id long, form string")
+    assert {tuple(r) for r in fuzzy_lines._piece_pairs(spelling, none, 0.9).collect()} == {(0, 20)}
+    assert fuzzy_lines._held(fuzzy_lines._spelt(spelling, none), 0.9).count() < 0.6 * least * len(lines)
+
+
 def test_crowded_lines(spark):
     """A bucket of many lines: all of one family but the stranger are one group."""
     base = prose(8, 50)
