@@ -252,8 +252,8 @@ def test_pieces_lose_no_similar_line(spark, letters):
                 if len(two) >= 24 and one != two:
                     pairs.add((len(forms), len(forms) + 1))
                     forms += ["".join(one), "".join(two)]
-    spelling = spark.createDataFrame(list(enumerate(forms)), "id long, form string")
-    got = fuzzy_lines._piece_pairs(spelling, spark.createDataFrame([], "node long, component long"), 0.9)
+    spelling = spark.createDataFrame([(i, i, x) for i, x in enumerate(forms)], "id long, component long, form string")
+    got = fuzzy_lines._piece_pairs(spelling, 0.9)
     assert len(pairs) > 300 and pairs <= {(r["a"], r["b"]) for r in got.collect()}
 
 
@@ -263,10 +263,9 @@ def test_common_passages_alone_are_no_pairs(spark):
     lines = [" ".join([*prose(100 + i, 12), *prose(99, 6), *prose(200 + i, 20)]) for i in range(20)]
     least = min(map(len, lines))
     lines = [x[:least] for x in lines] + [lines[0][: least - 4] + "zzzz"]
-    none = spark.createDataFrame([], "node long, component long")
-    spelling = spark.createDataFrame(list(enumerate(lines)), "id long, form string")
-    assert {tuple(r) for r in fuzzy_lines._piece_pairs(spelling, none, 0.9).collect()} == {(0, 20)}
-    assert fuzzy_lines._held(fuzzy_lines._spelt(spelling, none), 0.9).count() < 0.6 * least * len(lines)
+    spelling = spark.createDataFrame([(i, i, x) for i, x in enumerate(lines)], "id long, component long, form string")
+    assert {tuple(r) for r in fuzzy_lines._piece_pairs(spelling, 0.9).collect()} == {(0, 20)}
+    assert fuzzy_lines._held(spelling, 0.9).count() < 0.6 * least * len(lines)
 
 
 def test_crowded_lines(spark):
