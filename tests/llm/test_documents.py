@@ -268,6 +268,33 @@ def test_common_passages_alone_are_no_pairs(spark):
     assert fuzzy_lines._held(spelling, 0.9).count() < 0.6 * least * len(lines)
 
 
+def test_pieces_meet_in_turns(spark, monkeypatch):
+    """Turns by length, and by key where one length has most lines, find what one turn finds; no shuffled piece
+    and no table of forms or texts stays on disk."""
+    import os
+    import random
+
+    from zonalis.session import _own_scratch
+
+    rng, texts = random.Random(4), []
+    for n in [*range(24, 60), 90, 200, 333, 700, 5_000, *[120] * 60]:
+        one = "".join(rng.choice("abcdefghij") for _ in range(n))
+        texts += [one, "".join(c if i % 11 else "z" for i, c in enumerate(one))[rng.randrange(n // 50 + 1) :]]
+    spelling = spark.createDataFrame([(i, i, x, len(x)) for i, x in enumerate(texts)], "id long, component long, form string, chars int")
+    whole = {tuple(r) for r in fuzzy_lines._piece_pairs(spelling, 0.9).collect()}
+    monkeypatch.setattr(fuzzy_lines, "TURN_CHARS", 1)
+    monkeypatch.setattr(fuzzy_lines, "TURNS", 4)
+    turns = fuzzy_lines._turns(spelling, 0.9)
+    assert 4 <= len(turns) <= 12 and any(t.of > 1 for t in turns) and any(t.last > t.first for t in turns)
+    assert len(whole) > 60 and whole == {tuple(r) for r in fuzzy_lines._piece_pairs(spelling, 0.9).collect()}
+    folder = _own_scratch(spark).removeprefix("file:")
+    before, cleanup = set(os.listdir(folder)), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sum(not r["text"] for r in fuzzy_lines.dedup_lines(docs).collect()) > 60
+    assert not {x for x in set(os.listdir(folder)) - before if x.startswith("texts-")}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == cleanup
+
+
 def test_crowded_lines(spark):
     """A bucket of many lines: all of one family but the stranger are one group."""
     base = prose(8, 50)
